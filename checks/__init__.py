@@ -1,0 +1 @@
+"""Independent SQL twins of the named queries, for DuckDB."""
