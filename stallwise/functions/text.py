@@ -1,13 +1,21 @@
-"""Text expressions of the cleaning job. All run inside generated code."""
+"""Text expressions of the cleaning job.
+
+All run inside generated code: lists are cleaned as text, with one pattern per
+cell, instead of being split into arrays and put together again.
+"""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from stallwise import fixed_values as V
 
-# What a plain decimal number looks like; digit groups may be joined by "_".
-_NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-_INFINITE = r"(?i)^[+-]?inf(inity)?$"
+_BLANK = f"[{V.BLANKS}]"
+_BLANK_IN_LINE = "[" + V.BLANKS.replace("\r", "").replace("\n", "") + "]"
+# What stands between two items of a comma list, and between two lines.
+_COMMAS = f"{_BLANK}*,[{V.BLANKS},]*"
+_LINE_BREAKS = f"{_BLANK_IN_LINE}*[\r\n]{_BLANK}*"
+# What a number looks like. A cast alone would also take 4.2f or 0x1p3.
+_NUMBER = r"(?i)^[+-]?(([0-9]+(\.[0-9]*)?|\.[0-9]+)(e[+-]?[0-9]+)?|inf(inity)?)$"
 
 
 def strip(text: Column) -> Column:
@@ -25,36 +33,49 @@ def strip_or_null(text: Column) -> Column:
     return F.nullif(strip(text), F.lit(V.MISSING_AFTER_STRIP))
 
 
-def list_items(text: Column, separator: str) -> Column:
-    """Stripped, non-empty items of a separated list."""
-    items = F.transform(F.split(text, separator), strip)
-    return F.filter(items, lambda item: item != "")
+def comma_list(text: Column) -> Column:
+    """Stripped, non-empty items of a comma list joined by ", "; null when none is left."""
+    body = F.btrim(text, F.lit(V.BLANKS + ","))
+    joined = F.when(body.contains(","), F.regexp_replace(body, _COMMAS, ", ")).otherwise(body)
+    return F.nullif(joined, F.lit(""))
+
+
+def first_item(joined: Column) -> Column:
+    return F.substring_index(joined, ",", 1)
+
 
+def item_count(joined: Column) -> Column:
+    return F.length(joined) - F.length(F.replace(joined, F.lit(","), F.lit(""))) + 1
 
-def parse_number(text: Column) -> Column:
-    """Text to double; anything that is not a number becomes null."""
+
+def lines_to_one(text: Column) -> Column:
+    """Stripped, non-empty lines joined by " | "; null when nothing is left."""
     body = strip(text)
-    return F.when(body.rlike(_NUMBER) | body.rlike(_INFINITE), body.try_cast("double"))
+    broken = body.contains("\n") | body.contains("\r")
+    joined = F.when(broken, F.regexp_replace(body, _LINE_BREAKS, " | ")).otherwise(body)
+    return F.nullif(joined, F.lit(""))
+
 
+def parse_number(stripped: Column) -> Column:
+    """Stripped text to double; anything that is not a number becomes null."""
+    return F.when(stripped.rlike(_NUMBER), stripped.try_cast("double"))
 
-def parse_count(text: Column) -> Column:
-    """Counts such as "100+ ratings" or "1.5K+ ratings" to double."""
+
+def count_body(text: Column) -> Column:
+    """What is left of "100+ ratings" or "1.5K+ ratings" without its words: 100 or 1.5k."""
     body = F.lower(text)
     for word in ("ratings", "rating", "+"):
         body = F.replace(body, F.lit(word), F.lit(""))
-    plain = F.replace(body, F.lit("k"), F.lit(""))
-    # Underscores may stand between two digits, as in 1_000.
-    value = parse_number(F.regexp_replace(strip(plain), "(?<=[0-9])_(?=[0-9])", ""))
-    scaled = F.when(body.contains("k"), value * 1000.0).otherwise(value)
-    return F.when(text != V.TOO_FEW_RATINGS, scaled)
+    return F.when(text != V.TOO_FEW_RATINGS, body)
+
+
+def count_digits(body: Column) -> Column:
+    """The number of a count body as text; underscores may join two digits, as in 1_000."""
+    digits = strip(F.replace(body, F.lit("k"), F.lit("")))
+    joined = F.regexp_replace(digits, "(?<=[0-9])_(?=[0-9])", "")
+    return F.when(digits.contains("_"), joined).otherwise(digits)
 
 
 def first_digits(text: Column) -> Column:
     """First run of digits as a whole number; null when there is none."""
     return F.regexp_substr(text, F.lit("[0-9]+")).try_cast("long")
-
-
-def lines_to_one(text: Column) -> Column:
-    """Non-empty stripped lines joined by " | "; null when nothing is left."""
-    lines = list_items(F.translate(text, "\r", "\n"), "\n")
-    return F.nullif(F.array_join(lines, " | "), F.lit(""))

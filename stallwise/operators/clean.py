@@ -41,11 +41,11 @@ def correct_price(price: Column) -> Column:
     return F.when(price > V.PRICE_LIMIT, kept).otherwise(price)
 
 
-def rating_status(raw_rating: Column) -> Column:
+def rating_status(raw_rating: Column, stripped: Column) -> Column:
     """Junk text counts as Rated; only the exact "--" or no text is Unrated."""
     return (
         F.when(raw_rating.isNull() | (raw_rating == V.NO_RATING), V.STATUS_UNRATED)
-        .when(F.upper(X.strip(raw_rating)) == V.NEW_RATING, V.STATUS_NEW)
+        .when(F.upper(stripped) == V.NEW_RATING, V.STATUS_NEW)
         .otherwise(V.STATUS_RATED)
     )
 
@@ -55,32 +55,51 @@ def _stripped(raw: DataFrame) -> DataFrame:
     return raw.withColumns({name: X.strip_or_null(F.col(name)) for name in names})
 
 
+def _worked_once(unique_raw: DataFrame) -> DataFrame:
+    """Every text that later columns use more than once, worked out once.
+
+    Kept in projections of their own: a projection is not merged into the next
+    one when that would repeat a costly expression.
+    """
+    return (
+        _stripped(rename_raw(unique_raw))
+        .withColumns(
+            {
+                "cuisine_list": X.comma_list(F.col("cuisine")),
+                "rating_text": X.strip(F.col("rating_raw")),
+                "count_body": X.count_body(F.col("rating_count_raw")),
+                "price": read_price(F.col("cost_for_two_raw")),
+                "offer_lines": X.lines_to_one(F.col("offer_name_raw")),
+            }
+        )
+        .withColumn("count_digits", X.count_digits(F.col("count_body")))
+        .withColumn("count_value", X.parse_number(F.col("count_digits")))
+        # An empty list, a missing cell and the word itself all mean "Unknown".
+        .withColumn("cuisine", F.coalesce("cuisine_list", F.lit(V.UNKNOWN_CUISINE)))
+    )
+
+
 def clean_rows(unique_raw: DataFrame) -> DataFrame:
     """The narrow part of the job, on rows without exact duplicates."""
-    rows = _stripped(rename_raw(unique_raw))
-    # An empty list, a missing cell and the word itself all mean "Unknown".
-    items = X.list_items(F.col("cuisine"), ",")
-    listed = F.nullif(F.array_join(items, ", "), F.lit(""))
-    cuisine = F.coalesce(listed, F.lit(V.UNKNOWN_CUISINE))
-    known = F.coalesce(listed != V.UNKNOWN_CUISINE, F.lit(False))
-    # Strip before bracketing: round(2) on doubles is half to even.
-    rating = F.rint(X.parse_number(F.col("rating_raw")) * 100.0) / 100.0
-    price = correct_price(read_price(F.col("cost_for_two_raw")))
+    cuisine = F.col("cuisine")
+    known = cuisine != V.UNKNOWN_CUISINE
+    rating = X.parse_number(F.col("rating_text"))
+    in_thousands = F.col("count_body").contains("k")
     veg = F.lower(X.strip(F.col("pure_veg_raw"))) == V.VEG_YES
-    return rows.select(
+    return _worked_once(unique_raw).select(
         "restaurant_name",
         "location",
         F.coalesce("area", "location").alias("area"),
-        cuisine.alias("cuisine"),
-        F.when(known, F.get(items, 0)).otherwise(V.UNKNOWN_CUISINE).alias("primary_cuisine"),
-        F.when(known, F.size(items)).otherwise(0).alias("cuisine_count"),
-        rating.alias("rating"),
-        rating_status(F.col("rating_raw")).alias("rating_status"),
-        X.parse_count(F.col("rating_count_raw")).alias("rating_count"),
-        price.cast("int").alias("cost_for_two"),
+        "cuisine",
+        X.first_item(cuisine).alias("primary_cuisine"),
+        F.when(known, X.item_count(cuisine)).otherwise(0).alias("cuisine_count"),
+        (F.rint(rating * 100.0) / 100.0).alias("rating"),
+        rating_status(F.col("rating_raw"), F.col("rating_text")).alias("rating_status"),
+        F.when(in_thousands, F.col("count_value") * 1000.0).otherwise(F.col("count_value")).alias("rating_count"),
+        correct_price(F.col("price")).cast("int").alias("cost_for_two"),
         F.coalesce(veg, F.lit(False)).alias("is_pure_veg"),
         F.coalesce("offer_count", F.lit(0.0)).cast("int").alias("offer_count"),
-        F.coalesce(X.lines_to_one(F.col("offer_name_raw")), F.lit(V.NO_OFFER)).alias("offer_name"),
+        F.coalesce("offer_lines", F.lit(V.NO_OFFER)).alias("offer_name"),
     )
 
 

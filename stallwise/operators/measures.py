@@ -26,13 +26,15 @@ class Part:
     """One aggregate that measures are made of.
 
     `aggregate` gets a function that hides values outside the part's own
-    filter. `column` is the column of that filter, `whole` marks a benchmark.
+    filter. `column` is the column of that filter, `whole` marks a benchmark,
+    `distinct` names a column whose distinct values are aggregated, not the rows.
     """
 
     aggregate: Callable[[Restrict], Column]
     column: str | None = None
     condition: Callable[[], Column] | None = None
     whole: bool = False
+    distinct: str | None = None
 
     def expression(self) -> Column:
         if self.condition is None:
@@ -49,13 +51,8 @@ def _mean(name: str) -> Callable[[Restrict], Column]:
 
 
 def _only_value(name: str) -> Callable[[Restrict], Column]:
-    """The column's single visible value, else null."""
-
-    def value(only: Restrict) -> Column:
-        single = (F.min(name) == F.max(name)) & (F.count(name) == F.count("*"))
-        return F.when(single, F.min(name))
-
-    return value
+    """The single value among distinct values, else null."""
+    return lambda only: F.when(F.count("*") == 1, F.min(name))
 
 
 _VEG = {"column": "is_pure_veg", "condition": lambda: F.col("is_pure_veg")}
@@ -71,8 +68,8 @@ PARTS: dict[str, Part] = {
     "mean_rating": Part(_mean("rating")),
     "mean_cost": Part(_mean("cost_for_two")),
     "cities": Part(lambda only: F.countDistinct(only(F.col("city")))),
-    "only_city": Part(_only_value("city")),
-    "only_cuisine": Part(_only_value("primary_cuisine")),
+    "only_city": Part(_only_value("city"), distinct="city"),
+    "only_cuisine": Part(_only_value("primary_cuisine"), distinct="primary_cuisine"),
     "veg_rows": Part(_count, **_VEG),
     "unrated_rows": Part(_count, **_UNRATED),
     "deal_rows": Part(_count, **_DEALS),
@@ -161,6 +158,30 @@ def _attach(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     return left.join(renamed, same, "left").drop(*[f"right_{key}" for key in keys])
 
 
+@dataclass(frozen=True)
+class _Context:
+    """Which rows a part looks at, beside the slicers and groups all parts share."""
+
+    whole: bool = False
+    replaced: str | None = None
+    distinct: str | None = None
+
+
+def _aggregate(
+    frame: DataFrame, context: _Context, parts: list[str], by: Sequence[str], slicers: Mapping[str, object]
+) -> tuple[DataFrame, list[str]]:
+    """The parts of one context per group, and the group's keys."""
+    kept = {} if context.whole else {k: v for k, v in slicers.items() if k != context.replaced}
+    keys = [] if context.whole else [key for key in by if key != context.replaced]
+    rows = _slice(frame, kept)
+    if context.distinct:
+        # Distinct values first: a text kept per group would sort all rows.
+        rows = rows.select(*dict.fromkeys([*keys, context.distinct])).distinct()
+    values = [PARTS[part].expression().alias(f"#{part}") for part in parts]
+    # Without any part of its own the context still lists the groups.
+    return rows.groupBy(*keys).agg(*(values or [F.count("*").alias("#visible")])), keys
+
+
 def measures(
     frame: DataFrame,
     names: Sequence[str],
@@ -174,25 +195,17 @@ def measures(
     """
     slicers = dict(slicers or {})
     needed = dict.fromkeys(part for name in names for part in MEASURES[name].parts)
-    # A part's context: None for the whole frame, else the column its filter replaces.
-    contexts: dict[tuple[bool, str | None], list[str]] = {(False, None): []}
+    main = _Context()
+    contexts: dict[_Context, list[str]] = {main: []}
     for part in needed:
         column = PARTS[part].column
         replaced = column if column in slicers or column in by else None
-        contexts.setdefault((PARTS[part].whole, replaced), []).append(part)
-
-    def aggregate(whole: bool, replaced: str | None, parts: list[str]) -> tuple[DataFrame, list[str]]:
-        kept = {} if whole else {k: v for k, v in slicers.items() if k != replaced}
-        keys = [] if whole else [key for key in by if key != replaced]
-        values = [PARTS[part].expression().alias(f"#{part}") for part in parts]
-        rows = _slice(frame, kept)
-        # Without any value of its own the main context still lists the groups.
-        return rows.groupBy(*keys).agg(*(values or [F.count("*").alias("#visible")])), keys
-
-    result, _ = aggregate(False, None, contexts.pop((False, None)))
-    for (whole, replaced), parts in contexts.items():
-        other, keys = aggregate(whole, replaced, parts)
-        result = _attach(result, other, keys)
+        context = _Context(PARTS[part].whole, replaced, PARTS[part].distinct)
+        contexts.setdefault(context, []).append(part)
+
+    result, _ = _aggregate(frame, main, contexts.pop(main), by, slicers)
+    for context, parts in contexts.items():
+        result = _attach(result, *_aggregate(frame, context, parts, by, slicers))
         counts = [f"#{part}" for part in parts if PARTS[part].aggregate is _count]
         result = result.fillna(0, counts) if counts else result
     shown = [

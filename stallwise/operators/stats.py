@@ -16,7 +16,11 @@ _WIDE = "decimal(38,0)"
 
 def histogram(frame: DataFrame, *values: Column) -> DataFrame:
     """Rows per distinct combination, as column `n`; rows with a null are left out."""
-    rows = frame.select(*values).na.drop()
+    rows = frame.select(*values)
+    # One condition per column, so that a later join on a column finds its own
+    # condition already there and the counting is shared between branches.
+    for name in rows.columns:
+        rows = rows.filter(F.col(name).isNotNull())
     return rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
 
 
@@ -98,7 +102,7 @@ def average_ranks(counts: DataFrame, value: str, weight: str = "n", width: int =
     below = F.coalesce("lower_buckets", zero) + F.coalesce("lower_values", zero)
     return (
         bucketed.withColumn("lower_values", F.sum("at").over(inside))
-        .join(starts, "bucket")
+        .join(starts, "bucket", "left")
         .select(value, (below + (F.col("at") + 1) / 2.0).alias("rank_value"))
     )
 
