@@ -86,6 +86,8 @@ def clean_rows(unique_raw: DataFrame) -> DataFrame:
     rating = X.parse_number(F.col("rating_text"))
     in_thousands = F.col("count_body").contains("k")
     veg = F.lower(X.strip(F.col("pure_veg_raw"))) == V.VEG_YES
+    # Not-a-number counts as missing.
+    offers = F.coalesce(F.nanvl("offer_count", F.lit(0.0)), F.lit(0.0))
     return _worked_once(unique_raw).select(
         "restaurant_name",
         "location",
@@ -98,7 +100,7 @@ def clean_rows(unique_raw: DataFrame) -> DataFrame:
         F.when(in_thousands, F.col("count_value") * 1000.0).otherwise(F.col("count_value")).alias("rating_count"),
         correct_price(F.col("price")).cast("int").alias("cost_for_two"),
         F.coalesce(veg, F.lit(False)).alias("is_pure_veg"),
-        F.coalesce("offer_count", F.lit(0.0)).cast("int").alias("offer_count"),
+        offers.cast("int").alias("offer_count"),
         F.coalesce("offer_lines", F.lit(V.NO_OFFER)).alias("offer_name"),
     )
 

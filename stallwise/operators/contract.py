@@ -1,5 +1,7 @@
 """The warehouse contract: required values, text lengths, rating range."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,13 +33,20 @@ def counters() -> list[Column]:
     return [F.count_if(broken).alias(name) for name, broken in rules().items()]
 
 
+def broken_rows() -> Column:
+    """How many rows break any rule, as one aggregate."""
+    return F.count_if(reduce(Column.__or__, rules().values())).alias("broken_rows")
+
+
 def violations(clean: DataFrame) -> DataFrame:
     """One row per rule with the number of rows that break it; a single pass."""
     names = list(rules())
     return clean.agg(*counters()).unpivot([], names, "rule", "violations")
 
 
-def require(counts: dict[str, int]) -> None:
+def require(clean: DataFrame) -> None:
+    """Raise if any row breaks a rule."""
+    counts = clean.agg(*counters()).first().asDict()
     broken = {name: n for name, n in counts.items() if n}
     if broken:
         raise ContractError(broken)

@@ -12,13 +12,30 @@ SETTINGS = {
     "spark.ui.enabled": "false",
 }
 
+# Shuffle data per task that stays well inside an executor's memory.
+BYTES_PER_TASK = 128 * 1024 * 1024
 
-def build_session(app_name: str = "stallwise", master: str | None = None, **settings) -> SparkSession:
+
+def shuffle_partitions(input_bytes: int) -> int:
+    """Shuffle partitions for an input of this size.
+
+    The widest shuffle (removing duplicates) moves about as much as is read.
+    Small shuffles lose nothing: adaptive execution merges their partitions.
+    """
+    return max(200, -(-input_bytes // BYTES_PER_TASK))
+
+
+def build_session(
+    app_name: str = "stallwise", master: str | None = None, input_bytes: int | None = None, **settings
+) -> SparkSession:
     """A session with the settings above; keyword values (dots as __) override them."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    chosen = SETTINGS | {key.replace("__", "."): str(value) for key, value in settings.items()}
+    sized = {}
+    if input_bytes is not None:
+        sized["spark.sql.shuffle.partitions"] = str(shuffle_partitions(input_bytes))
+    chosen = SETTINGS | sized | {key.replace("__", "."): str(value) for key, value in settings.items()}
     for key, value in chosen.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

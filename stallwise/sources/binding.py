@@ -55,10 +55,12 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table("part", "p_partkey", "p_name", "p_brand", "p_type")
     suppliers = table("supplier", "s_suppkey", "s_name", "s_nationkey")
     nations = table("nation", "n_nationkey", "n_name")
-    # Suppliers and nations first: the large side then meets them in one join.
-    places = suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
-    joined = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).join(
-        places, F.col("l_suppkey") == F.col("s_suppkey")
+    # One table at a time: the engine knows the size of a table, but only a rough
+    # bound on the size of a join, and would shuffle where it need not.
+    joined = (
+        lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
     )
     keyed = joined.withColumns(
         {

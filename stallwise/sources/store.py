@@ -25,8 +25,10 @@ _TASK_BITS = 33
 
 @dataclass(frozen=True)
 class Stored:
+    """Where the table is, and how many of its rows break the contract."""
+
     path: str
-    broken: dict[str, int]
+    broken_rows: int
 
 
 _stored: dict[tuple[str, str], Stored] = {}
@@ -62,11 +64,16 @@ def _with_ratings(clean: DataFrame) -> DataFrame:
 
 
 def write_store(clean: DataFrame, path: str) -> Stored:
-    """Write the clean table; the contract is counted on the rows as they are written."""
+    """Write the clean table; broken rows are counted on the way, without a second pass."""
     counted = Observation("contract")
     rows = _with_ratings(clean).withColumn("load_position", F.monotonically_increasing_id())
-    rows.observe(counted, *contract.counters()).write.mode("overwrite").parquet(path)
-    return Stored(path, counted.get)
+    rows.observe(counted, contract.broken_rows()).write.mode("overwrite").parquet(path)
+    return Stored(path, counted.get["broken_rows"])
+
+
+def require_contract(spark: SparkSession, stored: Stored) -> None:
+    if stored.broken_rows:
+        contract.require(spark.read.parquet(stored.path))
 
 
 def stored_listings(spark: SparkSession, sf_dir: str) -> Stored | None:
@@ -81,6 +88,19 @@ def stored_listings(spark: SparkSession, sf_dir: str) -> Stored | None:
         return _stored[key]
 
 
+def clean_of(rows: DataFrame) -> DataFrame:
+    """The 13 clean columns of a store's rows, two-decimal ratings."""
+    return rows.select(*schema.CLEAN.names)
+
+
+def warehouse_of(rows: DataFrame) -> DataFrame:
+    """The clean columns of a store's rows (after the key, if there) with one-decimal ratings."""
+    names = [name for name in ("id", *schema.CLEAN.names) if name in rows.columns]
+    return rows.select(
+        *[F.col("warehouse_rating" if name == "rating" else name).alias(name) for name in names]
+    )
+
+
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = stored_listings(spark, sf_dir)
     if stored is None:
@@ -89,18 +109,16 @@ def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 13 clean columns, two-decimal ratings."""
-    return _rows(spark, sf_dir).select(*schema.CLEAN.names)
+    """The clean table of a test-table folder."""
+    return clean_of(_rows(spark, sf_dir))
 
 
 def warehouse_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 13 clean columns, one-decimal ratings; raises if rows break the contract."""
+    """The warehouse table of a test-table folder; raises if rows break the contract."""
     stored = stored_listings(spark, sf_dir)
     if stored is not None:
-        contract.require(stored.broken)
-    rows = _rows(spark, sf_dir)
-    others = [name for name in schema.CLEAN.names if name != "rating"]
-    return rows.select(*others, F.col("warehouse_rating").alias("rating")).select(*schema.CLEAN.names)
+        require_contract(spark, stored)
+    return warehouse_of(_rows(spark, sf_dir))
 
 
 def with_ids(stored_rows: DataFrame) -> DataFrame:
@@ -126,7 +144,5 @@ def warehouse_with_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = stored_listings(spark, sf_dir)
     if stored is None:
         raise RuntimeError("ids need a stored table: set spark.checkpoint.dir to a shared folder")
-    contract.require(stored.broken)
-    rows = with_ids(spark.read.parquet(stored.path))
-    others = [name for name in schema.CLEAN.names if name != "rating"]
-    return rows.select("id", *others, F.col("warehouse_rating").alias("rating")).select("id", *schema.CLEAN.names)
+    require_contract(spark, stored)
+    return warehouse_of(with_ids(spark.read.parquet(stored.path)))

@@ -77,11 +77,22 @@ def test_split_rejects(clean):
     assert counted == {"rating_out_of_range": 1, "cuisine_missing": 1, "primary_cuisine_missing": 1}
 
 
-def test_store_counts_broken_rows_and_the_warehouse_refuses_them(spark, clean, tmp_path):
+def test_store_counts_broken_rows_and_the_warehouse_refuses_them(spark, clean, tmp_path, monkeypatch):
     stored = store.write_store(clean({"rating": 100.0}, {}), str(tmp_path / "store"))
-    assert {k: v for k, v in stored.broken.items() if v} == {"rating_out_of_range": 1}
-    with pytest.raises(contract.ContractError):
-        contract.require(stored.broken)
+    assert stored.broken_rows == 1
+    monkeypatch.setattr(store, "stored_listings", lambda *_: stored)
+    assert store.clean_table(spark, SMALL).count() == 2
+    with pytest.raises(contract.ContractError) as error:
+        store.warehouse_table(spark, SMALL)
+    assert error.value.counts == {"rating_out_of_range": 1}
+
+
+def test_without_a_shared_folder_reports_still_run(spark, monkeypatch):
+    monkeypatch.setattr(store, "shared_folder", lambda _: None)
+    assert store.clean_table(spark, SMALL).count() == 6000
+    assert dict(store.warehouse_table(spark, SMALL).dtypes)["rating"] == "decimal(3,1)"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        store.warehouse_with_ids(spark, SMALL)
 
 
 def test_store_is_written_once_in_the_shared_folder(spark):
