@@ -16,7 +16,7 @@ def clean_file(spark: SparkSession, raw_csv: str, target: str) -> store.Stored:
 
 def open_clean(spark: SparkSession, stored: store.Stored) -> DataFrame:
     """The stored clean table, for the exploration and quality reports."""
-    return store.clean_of(spark.read.parquet(stored.path))
+    return store.clean_of(store.read_store(spark, stored))
 
 
 def open_warehouse(spark: SparkSession, stored: store.Stored) -> DataFrame:
@@ -25,7 +25,7 @@ def open_warehouse(spark: SparkSession, stored: store.Stored) -> DataFrame:
     Raises if rows break the contract.
     """
     store.require_contract(spark, stored)
-    return store.warehouse_of(store.with_ids(spark.read.parquet(stored.path)))
+    return store.warehouse_of(store.with_ids(store.read_store(spark, stored)))
 
 
 def cleaning_summary(clean: DataFrame) -> dict[str, DataFrame]:

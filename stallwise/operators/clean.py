@@ -130,11 +130,14 @@ def price_corrections(raw: DataFrame) -> DataFrame:
 
 
 def imputed_counts(raw: DataFrame) -> DataFrame:
-    """How many areas and cuisines the cleaning job has to fill in."""
+    """How many areas and cuisines the cleaning job has to fill in.
+
+    Only rows that lack one are told apart, so only those are shuffled.
+    """
     rows = _stripped(rename_raw(drop_duplicates(raw)))
-    return rows.agg(
-        F.count_if(F.col("area").isNull()).alias("missing_area"),
-        F.count_if(F.col("cuisine").isNull()).alias("missing_cuisine"),
+    no_area, no_cuisine = F.col("area").isNull(), F.col("cuisine").isNull()
+    return rows.filter(no_area | no_cuisine).agg(
+        F.count_if(no_area).alias("missing_area"), F.count_if(no_cuisine).alias("missing_cuisine")
     )
 
 

@@ -46,7 +46,7 @@ def q01_city_share(listings: DataFrame, top: int = V.REPORT_TOP) -> DataFrame:
     shared = G.with_exact_share(counts, listings, "restaurant_count", "pct_market_share", 2)
     largest = R.top_k(shared, top, F.desc("restaurant_count"), F.asc("location"))
     ranked = R.dense_rank_of_top(largest, F.desc("restaurant_count"), "city_rank")
-    return ranked.orderBy("city_rank", "location")
+    return R.in_order(ranked, top, F.asc("city_rank"), F.asc("location"))
 
 
 def q02_veg_penetration(
@@ -73,12 +73,13 @@ def q03_city_top_cuisine(listings: DataFrame, cities: Sequence[str] = V.MAJOR_CI
     counts = named.groupBy("location", "primary_cuisine").agg(_rows("outlet_count"))
     leaders = R.leader_per_group(counts, "location", "primary_cuisine", "outlet_count")
     share = half_up(F.col("outlet_count") * 100, F.col("group_total"), 1)
-    return leaders.select(
+    shown = leaders.select(
         "location",
         F.col("primary_cuisine").alias("top_cuisine"),
         "outlet_count",
         share.alias("market_share_percentage"),
-    ).orderBy(F.desc("outlet_count"), "location")
+    )
+    return R.in_order(shown, len(cities), F.desc("outlet_count"), F.asc("location"))
 
 
 def q04_cold_start(
@@ -126,7 +127,7 @@ def q06_cuisine_prices(
 def q07_menu_models(listings: DataFrame) -> DataFrame:
     """Specialists against wider menus, rated listings only."""
     model = bands.tier(F.col("cuisine_count"), V.REPORT_MENU_MODELS)
-    return (
+    models = (
         _rated(listings)
         .groupBy(model.alias("restaurant_model"))
         .agg(
@@ -135,8 +136,8 @@ def q07_menu_models(listings: DataFrame) -> DataFrame:
             _mean_cost("avg_cost"),
             _mean_reviews("avg_review_count"),
         )
-        .orderBy("restaurant_model")
     )
+    return R.in_order(models, len(V.REPORT_MENU_MODELS), F.asc("restaurant_model"))
 
 
 def q08_rating_consistency(
@@ -162,7 +163,7 @@ def q08_rating_consistency(
 def q09_price_tiers(listings: DataFrame) -> DataFrame:
     """Ratings, reviews and offers by price tier, cheapest first, rated listings only."""
     tier = bands.tier(F.col("cost_for_two"), V.REPORT_PRICE_TIERS)
-    return (
+    tiers = (
         _rated(listings)
         .groupBy(tier.alias("price_tier"))
         .agg(
@@ -172,9 +173,8 @@ def q09_price_tiers(listings: DataFrame) -> DataFrame:
             _mean_offers("avg_active_offers"),
             F.min("cost_for_two").alias("cheapest"),
         )
-        .orderBy("cheapest")
-        .drop("cheapest")
     )
+    return R.in_order(tiers, len(V.REPORT_PRICE_TIERS), F.asc("cheapest")).drop("cheapest")
 
 
 def q10_metro_top(
@@ -214,7 +214,7 @@ def q11_city_ticket_size(
 def q12_promotion_effect(listings: DataFrame) -> DataFrame:
     """Ratings, reviews and prices by number of offers, rated listings only."""
     tier = bands.tier(F.col("offer_count"), V.REPORT_PROMO_TIERS)
-    return (
+    tiers = (
         _rated(listings)
         .groupBy(tier.alias("promotional_activity"))
         .agg(
@@ -224,9 +224,8 @@ def q12_promotion_effect(listings: DataFrame) -> DataFrame:
             _mean_cost("avg_price"),
             F.min("offer_count").alias("fewest"),
         )
-        .orderBy("fewest")
-        .drop("fewest")
     )
+    return R.in_order(tiers, len(V.REPORT_PROMO_TIERS), F.asc("fewest")).drop("fewest")
 
 
 def q13_discount_reliance(
@@ -264,7 +263,7 @@ def q14_quadrants(listings: DataFrame) -> DataFrame:
         F.col("rating") * size >= F.col("rating_total"), F.col("cost_for_two") * size < F.col("cost_total")
     )
     rows = F.sum("n")
-    return (
+    quadrants = (
         cells.crossJoin(F.broadcast(means))
         .groupBy(group.alias("strategic_quadrant"))
         .agg(
@@ -274,8 +273,8 @@ def q14_quadrants(listings: DataFrame) -> DataFrame:
             half_up(F.sum(F.col("cost_for_two") * F.col("n")), rows, 0).alias("avg_cost_for_two"),
             half_up(F.sum("reviews"), F.sum("reviewed"), 0, unit=3).alias("avg_ratings_volume"),
         )
-        .orderBy("strategic_quadrant")
     )
+    return R.in_order(quadrants, len(V.QUADRANTS), F.asc("strategic_quadrant"))
 
 
 def q15_national_chains(

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stallwise import fixed_values as V
 from stallwise.functions.numeric import exact_mean, exact_share, half_up, hundredths, ratio, round_even
 from stallwise.operators import quality, stats
 from stallwise.operators import segments as G
@@ -14,11 +15,11 @@ def row_counts(raw: DataFrame, clean: DataFrame) -> DataFrame:
 
 
 def status_distribution(clean: DataFrame) -> DataFrame:
-    return G.value_counts(clean, "rating_status", "n").orderBy(F.desc("n"), "rating_status")
+    return G.top_counts(clean, "rating_status", len(V.STATUSES))
 
 
 def veg_distribution(clean: DataFrame) -> DataFrame:
-    return G.value_counts(clean, "is_pure_veg", "n").orderBy(F.desc("n"), "is_pure_veg")
+    return G.top_counts(clean, "is_pure_veg", 2)
 
 
 def describe_cost(clean: DataFrame) -> DataFrame:

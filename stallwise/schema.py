@@ -31,5 +31,11 @@ CLEAN = T.StructType(
 
 WAREHOUSE_RATING = T.DecimalType(3, 1)
 
+# What a store holds: both ratings, and where a row stood when it was written.
+STORE = T.StructType(
+    CLEAN.fields
+    + [T.StructField("warehouse_rating", WAREHOUSE_RATING), T.StructField("load_position", T.LongType())]
+)
+
 # Columns that may be empty; every other clean column must hold a value.
 NULLABLE = ("rating", "rating_count")

@@ -12,17 +12,24 @@ SETTINGS = {
     "spark.ui.enabled": "false",
 }
 
-# Shuffle data per task that stays well inside an executor's memory.
+# Data per task that stays well inside an executor's memory.
 BYTES_PER_TASK = 128 * 1024 * 1024
+# A shuffle has a block for every pair of a writing and a reading task, so on
+# very large inputs tasks get larger instead of more.
+MOST_TASKS = 100_000
 
 
-def shuffle_partitions(input_bytes: int) -> int:
-    """Shuffle partitions for an input of this size.
+def sized_settings(input_bytes: int) -> dict[str, str]:
+    """Scan and shuffle sizes for an input of this size.
 
     The widest shuffle (removing duplicates) moves about as much as is read.
     Small shuffles lose nothing: adaptive execution merges their partitions.
     """
-    return max(200, -(-input_bytes // BYTES_PER_TASK))
+    per_task = max(BYTES_PER_TASK, -(-input_bytes // MOST_TASKS))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(per_task),
+        "spark.sql.shuffle.partitions": str(max(200, -(-input_bytes // per_task))),
+    }
 
 
 def build_session(
@@ -32,9 +39,7 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    sized = {}
-    if input_bytes is not None:
-        sized["spark.sql.shuffle.partitions"] = str(shuffle_partitions(input_bytes))
+    sized = {} if input_bytes is None else sized_settings(input_bytes)
     chosen = SETTINGS | sized | {key.replace("__", "."): str(value) for key, value in settings.items()}
     for key, value in chosen.items():
         builder = builder.config(key, value)

@@ -71,9 +71,14 @@ def write_store(clean: DataFrame, path: str) -> Stored:
     return Stored(path, counted.get["broken_rows"])
 
 
+def read_store(spark: SparkSession, stored: Stored) -> DataFrame:
+    """The stored rows. The layout is given, so opening the table runs no job."""
+    return spark.read.schema(schema.STORE).parquet(stored.path)
+
+
 def require_contract(spark: SparkSession, stored: Stored) -> None:
     if stored.broken_rows:
-        contract.require(spark.read.parquet(stored.path))
+        contract.require(read_store(spark, stored))
 
 
 def stored_listings(spark: SparkSession, sf_dir: str) -> Stored | None:
@@ -105,7 +110,7 @@ def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = stored_listings(spark, sf_dir)
     if stored is None:
         return _with_ratings(clean_listings(raw_listings(spark, sf_dir)))
-    return spark.read.parquet(stored.path)
+    return read_store(spark, stored)
 
 
 def clean_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,4 +150,4 @@ def warehouse_with_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     if stored is None:
         raise RuntimeError("ids need a stored table: set spark.checkpoint.dir to a shared folder")
     require_contract(spark, stored)
-    return warehouse_of(with_ids(spark.read.parquet(stored.path)))
+    return warehouse_of(with_ids(read_store(spark, stored)))

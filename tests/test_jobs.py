@@ -1,5 +1,5 @@
 from stallwise import jobs
-from stallwise.session import shuffle_partitions
+from stallwise.session import sized_settings
 from stallwise.sources.binding import raw_listings
 from conftest import SMALL
 
@@ -22,6 +22,10 @@ def test_from_raw_file_to_views(spark, tmp_path):
     assert exported.select("restaurant_id").distinct().count() == 6000
 
 
-def test_shuffle_partitions_grow_with_the_input():
-    assert shuffle_partitions(10**6) == 200
-    assert shuffle_partitions(100 * 10**12) == 745059
+def test_tasks_grow_in_number_and_then_in_size():
+    def sizes(n):
+        return tuple(int(v) for v in sized_settings(n).values())
+
+    assert sizes(10**6) == (128 * 1024**2, 200)
+    assert sizes(10**12) == (128 * 1024**2, 7451)
+    assert sizes(100 * 10**12) == (10**9, 100_000)

@@ -105,7 +105,7 @@ def test_ids_are_dense_however_rows_are_spread(spark, clean, tmp_path):
     rows = clean({}).crossJoin(spark.range(5000)).withColumn("area", F.col("id").cast("string")).drop("id")
     uneven = rows.repartition(6).unionAll(rows.limit(3)).unionAll(rows.filter("false"))
     stored = store.write_store(uneven, str(tmp_path / "store"))
-    ids = [r.id for r in store.with_ids(spark.read.parquet(stored.path)).select("id").collect()]
+    ids = [r.id for r in store.with_ids(store.read_store(spark, stored)).select("id").collect()]
     assert sorted(ids) == list(range(1, 5004))
 
 
