@@ -1,5 +1,7 @@
 """The two jobs end to end: clean a raw file, publish the dashboard datasets."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from stallwise.operators import clean as C
@@ -9,9 +11,10 @@ from stallwise.plans import views
 from stallwise.sources import listings_io, store
 
 
-def clean_file(spark: SparkSession, raw_csv: str, target: str) -> store.Stored:
+def clean_file(spark: SparkSession, raw_csv: str, target: str, sort_by: Sequence[str] = ()) -> store.Stored:
     """Raw CSV files to a stored clean table at `target`."""
-    return store.write_store(C.clean_listings(listings_io.read_raw_csv(spark, raw_csv)), target)
+    clean = C.clean_listings(listings_io.read_raw_csv(spark, raw_csv))
+    return store.write_store(clean, target, sort_by)
 
 
 def open_clean(spark: SparkSession, stored: store.Stored) -> DataFrame:

@@ -9,8 +9,10 @@ what they use.
 import tempfile
 import threading
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,7 +44,7 @@ def shared_folder(spark: SparkSession) -> str | None:
     Local sessions without the setting get a fresh temporary folder. On a
     cluster without it there is no such folder and nothing is stored.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named or not spark.sparkContext.master.startswith("local"):
         return named
     app = spark.sparkContext.applicationId
@@ -63,10 +65,15 @@ def _with_ratings(clean: DataFrame) -> DataFrame:
     return clean.withColumn("warehouse_rating", one_decimal)
 
 
-def write_store(clean: DataFrame, path: str) -> Stored:
-    """Write the clean table; broken rows are counted on the way, without a second pass."""
+def write_store(clean: DataFrame, path: str, sort_by: Sequence[str] = ()) -> Stored:
+    """Write the clean table; broken rows are counted on the way, without a second pass.
+
+    `sort_by` sorts the rows of each file (no shuffle), so that filters on those
+    columns skip the parts of a file that cannot match.
+    """
     counted = Observation("contract")
-    rows = _with_ratings(clean).withColumn("load_position", F.monotonically_increasing_id())
+    ordered = clean.sortWithinPartitions(*sort_by) if sort_by else clean
+    rows = _with_ratings(ordered).withColumn("load_position", F.monotonically_increasing_id())
     rows.observe(counted, contract.broken_rows()).write.mode("overwrite").parquet(path)
     return Stored(path, counted.get["broken_rows"])
 
@@ -81,6 +88,15 @@ def require_contract(spark: SparkSession, stored: Stored) -> None:
         contract.require(read_store(spark, stored))
 
 
+def _still_there(spark: SparkSession, stored: Stored) -> bool:
+    """Whether the table can be opened; the shared folder may have been emptied."""
+    try:
+        read_store(spark, stored)
+    except AnalysisException:
+        return False
+    return True
+
+
 def stored_listings(spark: SparkSession, sf_dir: str) -> Stored | None:
     """The stored clean table of a test-table folder, written on first use."""
     path = scratch_path(spark, "listings")
@@ -88,7 +104,7 @@ def stored_listings(spark: SparkSession, sf_dir: str) -> Stored | None:
         return None
     key = (spark.sparkContext.applicationId, sf_dir)
     with _lock:
-        if key not in _stored:
+        if key not in _stored or not _still_there(spark, _stored[key]):
             _stored[key] = write_store(clean_listings(raw_listings(spark, sf_dir)), path)
         return _stored[key]
 

@@ -101,6 +101,21 @@ def test_store_is_written_once_in_the_shared_folder(spark):
     assert store.clean_table(spark, SMALL).schema.names == schema.CLEAN.names
 
 
+def test_store_is_written_again_when_its_folder_was_emptied(spark, monkeypatch, tmp_path):
+    gone = store.Stored(str(tmp_path / "gone"), 0)
+    key = (spark.sparkContext.applicationId, SMALL)
+    monkeypatch.setitem(store._stored, key, gone)
+    assert store.clean_table(spark, SMALL).count() == 6000
+    assert store.stored_listings(spark, SMALL) != gone
+
+
+def test_sorted_store_skips_other_cities(spark, clean, tmp_path):
+    rows = clean({"location": "B"}, {"location": "A"}).crossJoin(spark.range(100)).drop("id")
+    stored = store.write_store(rows.coalesce(1), str(tmp_path / "store"), sort_by=["location"])
+    cities = [r.location for r in store.read_store(spark, stored).orderBy("load_position").collect()]
+    assert cities == ["A"] * 100 + ["B"] * 100
+
+
 def test_ids_are_dense_however_rows_are_spread(spark, clean, tmp_path):
     rows = clean({}).crossJoin(spark.range(5000)).withColumn("area", F.col("id").cast("string")).drop("id")
     uneven = rows.repartition(6).unionAll(rows.limit(3)).unionAll(rows.filter("false"))
