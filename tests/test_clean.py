@@ -1,6 +1,12 @@
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
+from stallwise import fixed_values as V
+from stallwise.functions import text as X
+
 from stallwise.operators import clean as C
 from stallwise.operators import contract
 from stallwise.sources.binding import raw_listings
@@ -157,3 +163,50 @@ def test_a_third_of_all_rows_may_be_one_listing(spark, raw):
     hot = raw({}).crossJoin(spark.range(20000)).drop("id")
     others = raw({}).crossJoin(spark.range(40000)).withColumn("Area", F.col("id").cast("string")).drop("id")
     assert C.clean_listings(hot.unionAll(others)).count() == 40001
+
+
+def random_texts(pieces, seed):
+    pick = random.Random(seed)
+    return ["".join(pick.choices(pieces, k=pick.randrange(14))) for _ in range(1500)]
+
+
+def test_every_kind_of_blank_is_stripped(spark):
+    texts = random_texts([*V.BLANKS, "a", "é", "ab"], 1)
+    rows = spark.createDataFrame(list(enumerate(texts)), "i long, t string").select(X.strip(F.col("t")), "t")
+    assert all(got == text.strip() for got, text in rows.collect())
+
+
+def test_lists_against_plain_text_handling(spark):
+    texts = random_texts([*V.BLANKS, ",", ",", ",", "a", "₹", "b c", "Unknown"], 2)
+    frame = spark.createDataFrame(list(enumerate(texts)), "i long, t string")
+    for got, text in frame.select(X.comma_list(F.col("t")), "t").collect():
+        items = [*filter(None, map(str.strip, text.split(",")))]
+        assert got == (", ".join(items) or None)
+
+
+def test_lines_against_plain_text_handling(spark):
+    texts = random_texts([*V.BLANKS, "\r\n", "\n", "\r", "a", "₹", "b c", "|"], 3)
+    frame = spark.createDataFrame(list(enumerate(texts)), "i long, t string")
+    for got, text in frame.select(X.lines_to_one(F.col("t")), "t").collect():
+        lines = [*filter(None, map(str.strip, text.replace("\r", "\n").split("\n")))]
+        assert got == (" | ".join(lines) or None)
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cleaning_is_one_shuffle_after_merging_copies(spark, tmp_path):
+    raw_listings(spark, SMALL).write.parquet(str(tmp_path / "raw"))
+    stored = spark.read.parquet(str(tmp_path / "raw"))
+    plan = plan_of(C.clean_listings(stored))
+    assert plan.count("Exchange") == 1 and plan.count("HashAggregate") == 2
+    assert not re.search("SortAggregate|Sort \\[|Python", plan)
+
+
+def test_conditions_on_raw_columns_are_applied_before_the_shuffle(spark, tmp_path):
+    raw_listings(spark, SMALL).write.parquet(str(tmp_path / "raw"))
+    stored = spark.read.parquet(str(tmp_path / "raw"))
+    for frame in (C.price_corrections(stored), C.imputed_counts(stored)):
+        plan = plan_of(frame)
+        assert plan.rindex("Filter") > plan.rindex("Exchange")
