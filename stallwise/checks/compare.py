@@ -1,6 +1,6 @@
 """Run every query and its SQL twin on one folder of test tables and compare the rows.
 
-    python -m checks.compare /root/testdata/sf0.01 [query ...]
+    python -m stallwise.checks.compare /root/testdata/sf0.01 [query ...]
 """
 
 import math
@@ -11,7 +11,7 @@ from pathlib import Path
 
 import duckdb
 
-from checks import duckdb_sql
+from stallwise.checks import duckdb_sql
 from stallwise import catalog
 from stallwise.session import build_session
 

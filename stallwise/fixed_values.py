@@ -45,7 +45,6 @@ NO_OFFER = "No Offer"
 STATUS_RATED = "Rated"
 STATUS_NEW = "New"
 STATUS_UNRATED = "Unrated"
-STATUSES = (STATUS_RATED, STATUS_NEW, STATUS_UNRATED)
 
 # A price above the limit is a typing error; its first digits are the price.
 PRICE_LIMIT = 50000

@@ -18,15 +18,6 @@ def top_k(frame: DataFrame, k: int, *order: Column) -> DataFrame:
     return frame.orderBy(*order).limit(k)
 
 
-def in_order(frame: DataFrame, most: int, *order: Column) -> DataFrame:
-    """All rows of a small result in order.
-
-    `most` is the number of rows there can be. Knowing it, the engine sorts in
-    one step; a plain sort would first run a job to sample the rows.
-    """
-    return frame.orderBy(*order).limit(most)
-
-
 def dense_rank_of_top(top: DataFrame, order: Column, name: str) -> DataFrame:
     """Dense rank within the first rows of the same order.
 

@@ -46,7 +46,7 @@ def q01_city_share(listings: DataFrame, top: int = V.REPORT_TOP) -> DataFrame:
     shared = G.with_exact_share(counts, listings, "restaurant_count", "pct_market_share", 2)
     largest = R.top_k(shared, top, F.desc("restaurant_count"), F.asc("location"))
     ranked = R.dense_rank_of_top(largest, F.desc("restaurant_count"), "city_rank")
-    return R.in_order(ranked, top, F.asc("city_rank"), F.asc("location"))
+    return ranked.orderBy(F.asc("city_rank"), F.asc("location"))
 
 
 def q02_veg_penetration(
@@ -79,7 +79,7 @@ def q03_city_top_cuisine(listings: DataFrame, cities: Sequence[str] = V.MAJOR_CI
         "outlet_count",
         share.alias("market_share_percentage"),
     )
-    return R.in_order(shown, len(cities), F.desc("outlet_count"), F.asc("location"))
+    return shown.orderBy(F.desc("outlet_count"), F.asc("location"))
 
 
 def q04_cold_start(
@@ -137,7 +137,7 @@ def q07_menu_models(listings: DataFrame) -> DataFrame:
             _mean_reviews("avg_review_count"),
         )
     )
-    return R.in_order(models, len(V.REPORT_MENU_MODELS), F.asc("restaurant_model"))
+    return models.orderBy(F.asc("restaurant_model"))
 
 
 def q08_rating_consistency(
@@ -174,7 +174,7 @@ def q09_price_tiers(listings: DataFrame) -> DataFrame:
             F.min("cost_for_two").alias("cheapest"),
         )
     )
-    return R.in_order(tiers, len(V.REPORT_PRICE_TIERS), F.asc("cheapest")).drop("cheapest")
+    return tiers.orderBy(F.asc("cheapest")).drop("cheapest")
 
 
 def q10_metro_top(
@@ -226,7 +226,7 @@ def q12_promotion_effect(listings: DataFrame) -> DataFrame:
             F.min("offer_count").alias("fewest"),
         )
     )
-    return R.in_order(tiers, len(V.REPORT_PROMO_TIERS), F.asc("fewest")).drop("fewest")
+    return tiers.orderBy(F.asc("fewest")).drop("fewest")
 
 
 def q13_discount_reliance(
@@ -275,7 +275,7 @@ def q14_quadrants(listings: DataFrame) -> DataFrame:
             half_up(F.sum("reviews"), F.sum("reviewed"), 0, unit=3).alias("avg_ratings_volume"),
         )
     )
-    return R.in_order(quadrants, len(V.QUADRANTS), F.asc("strategic_quadrant"))
+    return quadrants.orderBy(F.asc("strategic_quadrant"))
 
 
 def q15_national_chains(

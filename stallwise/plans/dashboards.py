@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stallwise import fixed_values as V
 from stallwise.operators.measures import measures
-from stallwise.operators.ranking import in_order, top_k
+from stallwise.operators.ranking import top_k
 
 Slicers = Mapping[str, object] | None
 
@@ -57,7 +57,7 @@ def price_tiers(enriched: DataFrame, slicers: Slicers = None) -> DataFrame:
     """Tiers in the order of their sort key."""
     keys = ["price_tier", "price_tier_sort"]
     rows = measures(enriched, ["average_rating", "total_review_volume"], keys, slicers)
-    return in_order(rows, len(V.VIEW_PRICE_TIERS), F.asc("price_tier_sort"))
+    return rows.orderBy(F.asc("price_tier_sort"))
 
 
 def chains(enriched: DataFrame, top: int = V.REPORT_TOP, slicers: Slicers = None) -> DataFrame:

@@ -36,7 +36,7 @@ def e01_top_locations(clean: DataFrame, top: int = V.LOCATION_TOP) -> DataFrame:
     running = R.running_percent(largest, order, "restaurant_count", "total_rows", "cumulative_pct")
     share = percent(F.col("restaurant_count"), F.col("total_rows"), 2)
     shown = running.select("location", "restaurant_count", share.alias("pct_share"), "cumulative_pct")
-    return R.in_order(shown, top, *order)
+    return shown.orderBy(*order)
 
 
 def e01_unique_locations(clean: DataFrame) -> DataFrame:
@@ -72,7 +72,7 @@ def _bin_distribution(clean: DataFrame, value: Column, bins) -> DataFrame:
     total = per_bin.agg(F.sum("count").alias("binned"))
     share = percent(F.col("count"), F.col("binned"), 2)
     shown = filled.crossJoin(F.broadcast(total)).select("bin_order", "band", "count", share.alias("pct_share"))
-    return R.in_order(shown, len(bins), F.asc("bin_order"))
+    return shown.orderBy(F.asc("bin_order"))
 
 
 def e03_rating_bins(clean: DataFrame) -> DataFrame:
@@ -110,7 +110,7 @@ def _rating_by_bin(rows: DataFrame, value: Column, bins) -> DataFrame:
         percent(good, size, 2).alias("pct_rated_4_plus"),
     )
     filled = bands.fill_bins(rows.sparkSession, bins, per_bin, ["count"])
-    return R.in_order(filled, len(bins), F.asc("bin_order"))
+    return filled.orderBy(F.asc("bin_order"))
 
 
 def e05_rating_by_price(clean: DataFrame) -> DataFrame:

@@ -3,7 +3,6 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stallwise import fixed_values as V
 from stallwise.functions.numeric import exact_mean, exact_share, half_up, hundredths, ratio, round_even
 from stallwise.operators import quality, stats
 from stallwise.operators import segments as G
@@ -15,11 +14,11 @@ def row_counts(raw: DataFrame, clean: DataFrame) -> DataFrame:
 
 
 def status_distribution(clean: DataFrame) -> DataFrame:
-    return G.top_counts(clean, "rating_status", len(V.STATUSES))
+    return G.value_counts(clean, "rating_status").orderBy(F.desc("n"), F.asc("rating_status"))
 
 
 def veg_distribution(clean: DataFrame) -> DataFrame:
-    return G.top_counts(clean, "is_pure_veg", 2)
+    return G.value_counts(clean, "is_pure_veg").orderBy(F.desc("n"), F.asc("is_pure_veg"))
 
 
 def describe_cost(clean: DataFrame) -> DataFrame:

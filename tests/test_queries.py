@@ -5,7 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as contract_module
-from checks import compare, duckdb_sql
+from stallwise.checks import compare, duckdb_sql
 from stallwise import catalog
 from conftest import SMALL
 
