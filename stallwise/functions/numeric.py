@@ -35,6 +35,21 @@ def exact_mean(value: Column | str, places: int, unit: int = 0) -> Column:
     return half_up(F.sum(value), F.count(value), places, unit)
 
 
+def rating_total(rating: Column) -> Column:
+    """Sum of one-decimal ratings, an aggregate.
+
+    The ratings' own type would leave a sum twelve digits before the point, which
+    a trillion listings overrun. Eight digits leave seventeen, and sums of this
+    width are still kept as whole numbers.
+    """
+    return F.sum(rating.cast("decimal(8,1)"))
+
+
+def mean_rating(rating: Column, places: int) -> Column:
+    """Mean of the one-decimal ratings that are there, an aggregate."""
+    return half_up(rating_total(rating), F.count(rating), places, unit=1)
+
+
 def exact_share(condition: Column, places: int) -> Column:
     """Percentage of the group's rows that meet the condition, an aggregate."""
     return half_up(F.count_if(condition) * 100, F.count("*"), places)

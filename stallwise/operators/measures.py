@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from stallwise import fixed_values as V
 from stallwise.functions import formats
-from stallwise.functions.numeric import ratio
+from stallwise.functions.numeric import rating_total, ratio
 
 
 Restrict = Callable[[Column], Column]
@@ -50,6 +50,11 @@ def _mean(name: str) -> Callable[[Restrict], Column]:
     return lambda only: ratio(F.sum(only(F.col(name))), F.count(only(F.col(name))))
 
 
+def _mean_rating(only: Restrict) -> Column:
+    rating = only(F.col("rating"))
+    return ratio(rating_total(rating), F.count(rating))
+
+
 def _only_value(name: str) -> Callable[[Restrict], Column]:
     """The single value among distinct values, else null."""
     return lambda only: F.when(F.count("*") == 1, F.min(name))
@@ -65,7 +70,7 @@ PARTS: dict[str, Part] = {
     "rows": Part(_count),
     "reviews": Part(lambda only: F.sum(only(F.col("review_count")))),
     "mean_reviews": Part(_mean("review_count")),
-    "mean_rating": Part(_mean("rating")),
+    "mean_rating": Part(_mean_rating),
     "mean_cost": Part(_mean("cost_for_two")),
     "cities": Part(lambda only: F.countDistinct(only(F.col("city")))),
     "only_city": Part(_only_value("city"), distinct="city"),
@@ -75,7 +80,7 @@ PARTS: dict[str, Part] = {
     "deal_rows": Part(_count, **_DEALS),
     "aggressive_reviews": Part(_mean("review_count"), **_AGGRESSIVE),
     "no_deal_reviews": Part(_mean("review_count"), **_NO_DEALS),
-    "national_rating": Part(_mean("rating"), whole=True),
+    "national_rating": Part(_mean_rating, whole=True),
     "national_cost": Part(_mean("cost_for_two"), whole=True),
 }
 

@@ -6,12 +6,12 @@ a limit always cuts at the same row.
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stallwise import fixed_values as V
 from stallwise.functions import bands
-from stallwise.functions.numeric import exact_mean, exact_share, half_up
+from stallwise.functions.numeric import exact_mean, exact_share, half_up, mean_rating, rating_total
 from stallwise.operators import ranking as R
 from stallwise.operators import segments as G
 
@@ -20,23 +20,23 @@ def _rated(listings: DataFrame) -> DataFrame:
     return listings.filter(F.col("rating").isNotNull())
 
 
-def _mean_rating(name: str, rating="rating"):
-    return exact_mean(rating, 2, unit=1).alias(name)
+def _mean_rating(name: str, rating: Column | None = None) -> Column:
+    return mean_rating(F.col("rating") if rating is None else rating, 2).alias(name)
 
 
-def _mean_cost(name: str):
+def _mean_cost(name: str) -> Column:
     return exact_mean("cost_for_two", 0).alias(name)
 
 
-def _mean_reviews(name: str):
+def _mean_reviews(name: str) -> Column:
     return exact_mean("rating_count", 0, unit=3).alias(name)
 
 
-def _mean_offers(name: str):
+def _mean_offers(name: str) -> Column:
     return exact_mean("offer_count", 1).alias(name)
 
 
-def _rows(name: str):
+def _rows(name: str) -> Column:
     return F.count("*").alias(name)
 
 
@@ -248,7 +248,7 @@ def q14_quadrants(listings: DataFrame) -> DataFrame:
     """Rated listings in four quadrants around the mean rating and the mean cost."""
     rated = _rated(listings)
     means = rated.agg(
-        F.sum("rating").alias("rating_total"),
+        rating_total(F.col("rating")).alias("rating_total"),
         F.sum("cost_for_two").alias("cost_total"),
         F.count("*").alias("rated_total"),
     )

@@ -3,7 +3,16 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stallwise.functions.numeric import exact_mean, exact_share, half_up, hundredths, ratio, round_even
+from stallwise.functions.numeric import (
+    exact_mean,
+    exact_share,
+    half_up,
+    hundredths,
+    mean_rating,
+    rating_total,
+    ratio,
+    round_even,
+)
 from stallwise.operators import quality, stats
 from stallwise.operators import segments as G
 
@@ -47,7 +56,7 @@ def warehouse_kpis(listings: DataFrame) -> DataFrame:
     veg = F.col("is_pure_veg")
     return listings.agg(
         exact_mean("cost_for_two", 1).alias("avg_cost"),
-        exact_mean("rating", 2, unit=1).alias("avg_rating"),
+        mean_rating(F.col("rating"), 2).alias("avg_rating"),
         F.count_if(veg).alias("veg_count"),
         F.count("*").alias("total"),
         exact_share(veg, 1).alias("veg_pct"),
@@ -59,7 +68,7 @@ def executive_kpis(listings: DataFrame) -> DataFrame:
     veg = F.col("is_pure_veg")
     cells = listings.groupBy("cost_for_two").agg(
         F.count("*").alias("n"),
-        F.sum("rating").alias("ratings"),
+        rating_total(F.col("rating")).alias("ratings"),
         F.count("rating").alias("rated"),
         F.sum("rating_count").alias("reviews"),
         F.count_if(veg).alias("veg"),

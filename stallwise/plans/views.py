@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from stallwise import fixed_values as V
 from stallwise.functions import bands
-from stallwise.functions.numeric import exact_mean, exact_share, half_up
+from stallwise.functions.numeric import exact_mean, exact_share, half_up, mean_rating
 from stallwise.operators import segments as G
 
 
@@ -46,7 +46,7 @@ def city_summary(listings: DataFrame) -> DataFrame:
     reviews = F.coalesce(F.sum("rating_count"), F.lit(0.0))
     return listings.groupBy(F.col("location").alias("city")).agg(
         F.count("*").alias("total_restaurants"),
-        exact_mean("rating", 2, unit=1).alias("avg_rating"),
+        mean_rating(F.col("rating"), 2).alias("avg_rating"),
         exact_mean("cost_for_two", 0).alias("avg_cost_for_two"),
         F.count_if(veg).alias("pure_veg_count"),
         exact_share(veg, 1).alias("veg_percentage"),
@@ -63,7 +63,7 @@ def cuisine_matrix(listings: DataFrame, min_listings: int = V.CUISINE_MATRIX_MIN
     cuisines = listings.groupBy("primary_cuisine").agg(
         F.count("*").alias("total_outlets"),
         exact_mean("cost_for_two", 0).alias("avg_cost"),
-        exact_mean("rating", 2, unit=1).alias("avg_rating"),
+        mean_rating(F.col("rating"), 2).alias("avg_rating"),
         F.coalesce(exact_mean("rating_count", 0, unit=3), F.lit(0.0)).alias("avg_review_count"),
         F.count_if(heavy).alias("heavy_discount_outlets"),
         exact_share(heavy, 1).alias("discount_reliance_pct"),

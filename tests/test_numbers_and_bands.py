@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from stallwise import fixed_values as V
 from stallwise.functions import bands, formats
-from stallwise.functions.numeric import exact_mean, half_up, round_even
+from stallwise.functions.numeric import half_up, mean_rating, rating_total, round_even
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -35,7 +35,15 @@ def test_exact_mean_of_tenths(spark):
     values = [Decimal(v) for v in ("3.7", "3.8", "3.7", "3.8", "3.7", "3.8", "3.7", "3.8")]
     frame = spark.createDataFrame([(v,) for v in values] + [(None,)], "rating decimal(3,1)")
     expected = (sum(values) / len(values)).quantize(Decimal("0.01"), ROUND_HALF_UP)
-    assert frame.agg(exact_mean("rating", 2, unit=1)).first()[0] == float(expected)
+    assert frame.agg(mean_rating(F.col("rating"), 2)).first()[0] == float(expected)
+
+
+def test_rating_totals_have_room_for_a_trillion_rows(spark):
+    frame = spark.createDataFrame([(Decimal("4.9"),)], "rating decimal(3,1)")
+    total = frame.agg(rating_total(F.col("rating")).alias("total"))
+    assert total.dtypes == [("total", "decimal(18,1)")]
+    # Kept as a whole number while summing.
+    assert "UnscaledValue" in total._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_round_even(spark):

@@ -31,6 +31,14 @@ def test_matches_twin(spark, tables, name):
     assert compare.differences(spark, tables, SMALL, name) is None
 
 
+def test_comparison_sees_a_wrong_value_and_a_wrong_type(spark, tables, monkeypatch):
+    for sql, problem in [("11", "first differences"), ("CAST(10 AS INTEGER)", "types"), ("CAST(10 AS BIGINT)", None)]:
+        statement = {"e01_unique_locations": f"SELECT {sql} AS unique_locations"}
+        monkeypatch.setattr(duckdb_sql, "statements", lambda: statement)
+        found = compare.differences(spark, tables, SMALL, "e01_unique_locations")
+        assert found is None if problem is None else problem in found
+
+
 def _plan(spark, name):
     frame = catalog.queries()[name](spark, SMALL)
     return frame._jdf.queryExecution().executedPlan().toString()
