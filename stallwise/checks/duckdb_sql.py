@@ -449,7 +449,7 @@ def _views() -> dict[str, str]:
         return f"(CAST({part} AS DOUBLE)/count(*))"
 
     many, none = mean_reviews("offer_count >= 3"), mean_reviews("offer_count = 0")
-    lift = f"coalesce(({many} - {none})/nullif({none}, 0), 0.0)"
+    lift = f"coalesce((coalesce({many}, 0.0) - {none})/nullif({none}, 0), 0.0)"
     difference = f"(coalesce({rating}, 0.0) - {nat_rating})"
     note = (f"CASE WHEN {difference} < 0 THEN '▼ ' ELSE '▲ +' END || "
             f"CAST(CAST(round({difference}, 2) AS DECIMAL(18,2)) AS VARCHAR) || ' vs National Avg'")

@@ -98,7 +98,9 @@ def _share(part: Column, rows: Column) -> Column:
 
 
 def _lift(first: Column, second: Column) -> Column:
-    return F.coalesce(ratio(first - second, second), F.lit(0.0))
+    """Relative difference; a missing first side counts as 0, without a second side there is no lift."""
+    zero = F.lit(0.0)
+    return F.coalesce(ratio(F.coalesce(first, zero) - second, second), zero)
 
 
 def _difference(value: Column, benchmark: Column) -> Column:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from stallwise import schema
 from stallwise.operators import contract
-from stallwise.operators.clean import clean_listings
+from stallwise.operators.clean import clean_listings, to_warehouse
 from stallwise.sources.binding import raw_listings
 
 # load_position numbers rows within a write task: task number in the high bits.
@@ -83,6 +83,12 @@ def read_store(spark: SparkSession, stored: Stored) -> DataFrame:
     return spark.read.schema(schema.STORE).parquet(stored.path)
 
 
+def open_store(spark: SparkSession, path: str) -> Stored:
+    """A table that an earlier session wrote; its broken rows are counted again."""
+    found = Stored(path, 0)
+    return Stored(path, read_store(spark, found).agg(contract.broken_rows()).first()[0])
+
+
 def require_contract(spark: SparkSession, stored: Stored) -> None:
     if stored.broken_rows:
         contract.require(read_store(spark, stored))
@@ -122,24 +128,25 @@ def warehouse_of(rows: DataFrame) -> DataFrame:
     )
 
 
-def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = stored_listings(spark, sf_dir)
-    if stored is None:
-        return _with_ratings(clean_listings(raw_listings(spark, sf_dir)))
-    return read_store(spark, stored)
-
-
 def clean_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clean table of a test-table folder."""
-    return clean_of(_rows(spark, sf_dir))
+    stored = stored_listings(spark, sf_dir)
+    if stored is None:
+        return clean_listings(raw_listings(spark, sf_dir))
+    return clean_of(read_store(spark, stored))
 
 
 def warehouse_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The warehouse table of a test-table folder; raises if rows break the contract."""
+    """The warehouse table of a test-table folder.
+
+    Raises if stored rows break the contract; rows that are not stored stop the
+    job when a rating does not fit.
+    """
     stored = stored_listings(spark, sf_dir)
-    if stored is not None:
-        require_contract(spark, stored)
-    return warehouse_of(_rows(spark, sf_dir))
+    if stored is None:
+        return to_warehouse(clean_listings(raw_listings(spark, sf_dir)))
+    require_contract(spark, stored)
+    return warehouse_of(read_store(spark, stored))
 
 
 def with_ids(stored_rows: DataFrame) -> DataFrame:

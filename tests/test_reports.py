@@ -158,6 +158,15 @@ def test_group_with_missing_key_keeps_its_replaced_measure(enriched):
     assert sorted(r.restaurants_with_deals for r in got) == [1, 1]
 
 
+def test_lift_with_a_missing_side(enriched):
+    frame = enriched(
+        {"location": "A", "offer_count": 0}, {"location": "B", "offer_count": 3},
+        {"location": "C", "offer_count": 0}, {"location": "C", "offer_count": 4, "rating_count": 150.0},
+    )
+    got = {r.city: r.discount_review_lift for r in measures(frame, ["discount_review_lift"], by=["city"]).collect()}
+    assert got == {"A": -1.0, "B": 0.0, "C": 0.5}
+
+
 def test_titles(enriched):
     frame = enriched({"location": "A"}, {"location": "B", "primary_cuisine": "Thai"})
     assert tuple(measures(frame, ["city_title", "cuisine_title"]).first()) == (

@@ -79,7 +79,7 @@ def test_split_rejects(clean):
 
 def test_store_counts_broken_rows_and_the_warehouse_refuses_them(spark, clean, tmp_path, monkeypatch):
     stored = store.write_store(clean({"rating": 100.0}, {}), str(tmp_path / "store"))
-    assert stored.broken_rows == 1
+    assert stored.broken_rows == 1 and store.open_store(spark, stored.path) == stored
     monkeypatch.setattr(store, "stored_listings", lambda *_: stored)
     assert store.clean_table(spark, SMALL).count() == 2
     with pytest.raises(contract.ContractError) as error:
