@@ -9,6 +9,36 @@ SELECT r.doc_id, g.keep_id, g.group_size, r.doc_id = g.keep_id AS kept, sha256(r
 FROM rows r JOIN groups g USING (t)
 """
 
+_WORDS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+DECONTAMINATION = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWERED}, {_WORDS}) AS w FROM documents
+),
+items AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all({_LOWERED}, {_WORDS}) AS w FROM benchmark
+),
+sized AS (SELECT item, w, least(len(w), 10) AS n FROM items WHERE len(w) > 0),
+windows AS (
+  SELECT DISTINCT item, n, array_to_string(w[k:k + n - 1], ' ') AS win
+  FROM sized, unnest(range(1, len(w) - n + 2)) AS t(k)
+),
+lengths AS (SELECT DISTINCT n FROM windows),
+doc_windows AS (
+  SELECT r, n, k, array_to_string(w[k:k + n - 1], ' ') AS win
+  FROM d, lengths, unnest(range(1, len(w) - n + 2)) AS t(k)
+),
+found AS (SELECT r, n, k, item FROM doc_windows JOIN windows USING (n, win)),
+hit AS (SELECT r, count(DISTINCT k + j) AS n_hit FROM found, unnest(range(0, n)) AS t(j) GROUP BY r),
+named AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT r, item FROM found) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+"""
+
 
 def statements() -> dict[str, str]:
-    return {"op1_exact_dedup": EXACT_DEDUP}
+    return {"op1_exact_dedup": EXACT_DEDUP, "op4_decontamination": DECONTAMINATION}
