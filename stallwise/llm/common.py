@@ -96,3 +96,50 @@ def mix(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0x94D049BB133111EB)
     x ^= x >> np.uint64(31)
     return x
+
+
+def lookup(rows: DataFrame, table: DataFrame, key: str, weight: str, values: list[str], spread: Column, hot_keys: int = 10_000) -> DataFrame:
+    """`rows` with the `values` of the one row of `table` that has the same key (left join), safe for hot keys.
+
+    `weight` is how many rows a key is for. Keys that hold over 1/`hot_keys` of
+    all rows number at most `hot_keys`; they are broadcast, and their rows are
+    spread by `spread` through the shuffle that joins the others.
+    """
+    total = table.agg(F.sum(weight)).first()[0] or 0
+    hot = F.col(weight) > max(1_000, total // hot_keys)
+    found = F.struct(*values)
+    marked = rows.join(F.broadcast(table.filter(hot).select(key, found.alias("_hot"))), key, "left")
+    marked = marked.withColumn("_cold_key", F.when(F.col("_hot").isNull(), F.col(key)))
+    marked = marked.withColumn("_spread", F.when(F.col("_hot").isNotNull(), spread).otherwise(F.lit(0).cast("long")))
+    cold = table.filter(~hot).select(F.col(key).alias("_cold_key"), F.lit(0).cast("long").alias("_spread"), found.alias("_cold"))
+    chosen = F.coalesce("_hot", "_cold")
+    joined = marked.join(cold, (marked["_cold_key"].eqNullSafe(cold["_cold_key"])) & (marked["_spread"] == cold["_spread"]), "left")
+    return joined.select(*[column(c) for c in rows.columns], *[chosen[v].alias(v) for v in values])
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, component): the smallest node that each node of the edges (a, b) is connected to.
+
+    Alternating stars: each step points the neighbours of a node to the smallest
+    of them, by aggregates and joins; every step is written to the shared folder.
+    """
+    now = stored(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct(), "edges")
+    mark = None
+    while True:
+        for large in (True, False):
+            both = now.select(F.col("b").alias("u"), F.col("a").alias("v"))
+            if large:
+                both = both.unionByName(now.select(F.col("a").alias("u"), F.col("b").alias("v")))
+            least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+            pointed = both.join(least, "u")
+            if large:
+                step = pointed.filter("v > u").select(F.col("m").alias("a"), F.col("v").alias("b"))
+            else:
+                step = pointed.select(F.col("m").alias("a"), F.col("v").alias("b"))
+                step = step.unionByName(least.select(F.col("m").alias("a"), F.col("u").alias("b")))
+            now = stored(step.filter("a < b").distinct(), "edges")
+        last, mark = mark, now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if mark == last:
+            break
+    nodes = now.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("component"))
+    return nodes.unionByName(now.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())

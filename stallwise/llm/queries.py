@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stallwise.llm import bpe, decontamination, exact_dedup, sql, toxicity, url_filter
+from stallwise.llm import bpe, decontamination, exact_dedup, ngram_join, sql, toxicity, url_filter
 from stallwise.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.linked(documents(spark, sf_dir), width=4, percent=85)
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.scored(documents(spark, sf_dir), labels)
@@ -38,6 +42,7 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
+        "op2_ngram_join": op2_ngram_join,
         "op3_toxicity": op3_toxicity,
         "op4_decontamination": op4_decontamination,
         "op5_bpe": op5_bpe,

@@ -39,6 +39,26 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
 """
 
+NGRAM_JOIN = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWERED}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+),
+s AS (
+  SELECT DISTINCT r, array_to_string(w[k:k + 3], ' ') AS g
+  FROM d, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS t(k) WHERE len(w) > 0
+),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+shared AS (SELECT a.r AS a, b.r AS b, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.r < b.r GROUP BY a.r, b.r),
+linked AS (
+  SELECT a, b FROM shared JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 100 * i >= 85 * (x.n + y.n - i)
+),
+edges AS (SELECT a, b FROM linked UNION SELECT b, a FROM linked),
+reached(r, t) AS (SELECT r, r FROM d UNION SELECT reached.r, edges.b FROM reached JOIN edges ON edges.a = reached.t)
+SELECT d.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(e.doc_id) AS component_id
+FROM d LEFT JOIN n ON n.r = d.r JOIN reached ON reached.r = d.r JOIN d e ON e.r = reached.t
+GROUP BY d.r, d.doc_id
+"""
+
 
 def statements() -> dict[str, str]:
-    return {"op1_exact_dedup": EXACT_DEDUP, "op4_decontamination": DECONTAMINATION}
+    return {"op1_exact_dedup": EXACT_DEDUP, "op2_ngram_join": NGRAM_JOIN, "op4_decontamination": DECONTAMINATION}
