@@ -5,8 +5,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stallwise.llm import bpe, decontamination, exact_dedup, ngram_join, sql, toxicity, url_filter
-from stallwise.llm.common import documents
+from stallwise.llm import bpe, decontamination, exact_dedup, ngram_join, sql, suffix_dedup, toxicity, url_filter
+from stallwise.llm.common import documents, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,19 +35,33 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded_digests(documents(spark, sf_dir), RANK_FILE, public_tokenizers.PATTERN)
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(documents(spark, sf_dir), digests=True)
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(spark.read.parquet(f"{sf_dir}/pages.parquet")).drop("score")
 
 
+def _shipped(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return {
+    named = {
         "op1_exact_dedup": op1_exact_dedup,
         "op2_ngram_join": op2_ngram_join,
         "op3_toxicity": op3_toxicity,
         "op4_decontamination": op4_decontamination,
         "op5_bpe": op5_bpe,
+        "op6_suffix_dedup": op6_suffix_dedup,
         "op8_url_filter": op8_url_filter,
     }
+    return {name: _shipped(query) for name, query in named.items()}
 
 
 def oracle_sql() -> dict[str, str]:
