@@ -8,7 +8,7 @@ get a decision each, and a null id is a value like any other.
 
 import tempfile
 import zipfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -77,10 +77,41 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def keep_rows(docs: DataFrame, decisions: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of `docs` whose id is in `decisions` (one column, `doc_id`, each id once); columns as before."""
-    ids = decisions.select(F.col("doc_id").alias("_llm_kept_id"))
-    return docs.join(ids, column(id_col).eqNullSafe(F.col("_llm_kept_id")), "left_semi")
+def drop_rows(docs: DataFrame, decisions: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """`docs` without the ids of which `decisions` (doc_id, kept) keeps no row; columns as before.
+
+    The ids to drop are written first, so Spark knows their size and broadcasts
+    them only if they are few.
+    """
+    by_id = decisions.groupBy("doc_id").agg(F.max("kept").alias("kept")).filter("NOT kept")
+    name = fresh("dropped", docs)
+    dropped = stored(by_id.select(F.col("doc_id").alias(name)), "dropped-ids")
+    return docs.join(dropped, column(id_col).cast("long").eqNullSafe(column(name)), "left_anti")
+
+
+def fresh(name: str, frame: DataFrame) -> str:
+    """A column name that the frame does not have."""
+    taken = {c.lower() for c in frame.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def filter_texts(docs: DataFrame, keep: Callable[[Iterable[pa.RecordBatch]], Iterator[tuple[pa.RecordBatch, list[bool]]]], text_col: str = "text") -> DataFrame:
+    """The rows that `keep` says yes to, with all columns as they are and without a shuffle.
+
+    `keep` gets batches in which the text has the name `_text`, and yields runs of
+    their rows, in order, with a decision for each row.
+    """
+    assert "_text" not in docs.columns, "the name _text is taken"
+    names = docs.columns
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, decisions in keep(batches):
+            yield batch.select(names).filter(pa.array(decisions, pa.bool_()))
+
+    text = F.coalesce(column(text_col).cast("string"), F.lit(""))
+    return docs.withColumn("_text", text).mapInArrow(run, docs.schema)
 
 
 def byte_texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
@@ -88,13 +119,13 @@ def byte_texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     return batch.column(batch.schema.get_field_index(name)).cast(pa.large_binary()).to_pylist()
 
 
-def shards(batches: Iterable[pa.RecordBatch], most_bytes: int) -> Iterator[pa.RecordBatch]:
+def shards(batches: Iterable[pa.RecordBatch], most_bytes: int, name: str = "text") -> Iterator[pa.RecordBatch]:
     """The rows of a task in runs of about `most_bytes`; a longer single row is a run of its own."""
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
         start = 0
-        at = batch.schema.get_field_index("text")
+        at = batch.schema.get_field_index(name)
         lengths = np.array([len(x) for x in batch.column(at).cast(pa.large_binary()).to_pylist()], dtype=np.int64)
         for i, n in enumerate(lengths.tolist()):
             if size and size + n > most_bytes:

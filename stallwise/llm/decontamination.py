@@ -26,6 +26,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -204,7 +205,7 @@ _SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 _FOUND = "n_words long, spans array<struct<start:long,end:long>>, items array<string>"
 
 
-def _search(block, last: bool):
+def _search(block: Broadcast, last: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = Windows(block.value)
         for shard in common.shards(batches, SHARD_BYTES):
@@ -225,21 +226,26 @@ def _search(block, last: bool):
     return run
 
 
-def contamination(
-    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES
-) -> DataFrame:
-    """One row per input row: doc_id, n_words, spans of hit word positions (end exclusive), items (ids, sorted)."""
+def _blocks(benchmark: DataFrame, item_col: str, item_text_col: str, block_bytes: int) -> Iterator[tuple[Broadcast, bool]]:
+    """The items of the benchmark in blocks of about `block_bytes` of text; whether it is the last block."""
     items = benchmark.select(
         F.coalesce(common.column(item_col).cast("string"), F.lit("")).alias("item"),
         F.coalesce(common.column(item_text_col).cast("string"), F.lit("")).alias("text"),
     )
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
-    rows = common.text_rows(docs, id_col, text_col)
     for k in range(blocks):
         chosen = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
-        block = docs.sparkSession.sparkContext.broadcast([(r["item"], r["text"].encode()) for r in chosen.toLocalIterator()])
-        last = k == blocks - 1
+        rows = [(r["item"], r["text"].encode()) for r in chosen.toLocalIterator()]
+        yield benchmark.sparkSession.sparkContext.broadcast(rows), k == blocks - 1
+
+
+def contamination(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """One row per input row: doc_id, n_words, spans of hit word positions (end exclusive), items (ids, sorted)."""
+    rows = common.text_rows(docs, id_col, text_col)
+    for block, last in _blocks(benchmark, item_col, item_text_col, block_bytes):
         rows = rows.mapInArrow(_search(block, last), f"doc_id long, {'' if last else 'text string, '}{_FOUND}")
     return rows
 
@@ -253,8 +259,20 @@ def digests(found: DataFrame) -> DataFrame:
     )
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_contaminated(
+    docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """The documents in which no window of the benchmark occurs; the columns stay as they are."""
-    bad = contamination(docs, benchmark, id_col, text_col).filter(F.size("spans") > 0).select("doc_id").distinct()
-    ids = bad.select(F.col("doc_id").alias("_llm_bad_id"))
-    return docs.join(ids, common.column(id_col).eqNullSafe(F.col("_llm_bad_id")), "left_anti")
+    for block, _ in _blocks(benchmark, item_col, item_text_col, block_bytes):
+        docs = common.filter_texts(docs, _clean(block), text_col)
+    return docs
+
+
+def _clean(block: Broadcast):
+    def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bool]]]:
+        windows = Windows(block.value)
+        for shard in common.shards(batches, SHARD_BYTES, "_text"):
+            _, spans, _ = hits(common.byte_texts(shard, "_text"), windows)
+            yield shard, [not s for s in spans]
+
+    return keep

@@ -84,5 +84,4 @@ def _result(found: DataFrame) -> DataFrame:
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without copies; the columns stay as they are."""
-    kept = exact_groups(docs, id_col, text_col).filter("kept").select("doc_id").distinct()
-    return common.keep_rows(docs, kept, id_col)
+    return common.drop_rows(docs, exact_groups(docs, id_col, text_col).select("doc_id", "kept"), id_col)

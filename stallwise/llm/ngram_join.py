@@ -395,4 +395,4 @@ def linked(
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group, the one with the smallest id; the columns stay as they are."""
     found = linked(docs, id_col, text_col, width, percent)
-    return common.keep_rows(docs, found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct(), id_col)
+    return common.drop_rows(docs, found.select("doc_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")), id_col)

@@ -32,6 +32,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -288,26 +289,40 @@ def sample_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> lis
     return [(r["text"], r["toxic"]) for r in sorted(rows.collect(), key=lambda r: (r["doc_id"], r["text"]))]
 
 
+def trained(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Broadcast:
+    """The machine, sent to the executors: 1 MB."""
+    rows = sample_rows(common.text_rows(docs, id_col, text_col), labels, sample)
+    return docs.sparkSession.sparkContext.broadcast(train(rows))
+
+
+def _scores(model: Broadcast, batches: Iterable[pa.RecordBatch], name: str) -> Iterator[tuple[pa.RecordBatch, list[float]]]:
+    known: dict[str, float] = {}
+    for whole in batches:
+        for at in range(0, whole.num_rows, 500):
+            batch = whole.slice(at, 500)
+            if len(known) > 400_000:
+                known.clear()
+            yield batch, model.value.scores(batch.column(batch.schema.get_field_index(name)).to_pylist(), known)
+
+
 def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
     """One row per input row: doc_id, held_out, score, predicted. `labels` has doc_id and toxic."""
-    rows = common.text_rows(docs, id_col, text_col)
-    model = docs.sparkSession.sparkContext.broadcast(train(sample_rows(rows, labels, sample)))  # 1 MB
+    model = trained(docs, labels, id_col, text_col, sample)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, float] = {}
-        for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                if len(known) > 400_000:
-                    known.clear()
-                scores = model.value.scores(batch.column("text").to_pylist(), known)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], names=["doc_id", "score"])
-
-    found = rows.mapInArrow(run, "doc_id long, score double")
+        for batch, scores in _scores(model, batches, "text"):
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], names=["doc_id", "score"])
+
+    found = common.text_rows(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
     """The documents that are not predicted toxic; the columns stay as they are."""
-    bad = scored(docs, labels, id_col, text_col).filter("predicted = 1").select(F.col("doc_id").alias("_llm_bad_id")).distinct()
-    return docs.join(bad, common.column(id_col).eqNullSafe(F.col("_llm_bad_id")), "left_anti")
+    model = trained(docs, labels, id_col, text_col, sample)
+
+    def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bool]]]:
+        for batch, scores in _scores(model, batches, "_text"):
+            yield batch, [s < 0.5 for s in scores]
+
+    return common.filter_texts(docs, keep, text_col)
