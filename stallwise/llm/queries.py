@@ -4,13 +4,17 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stallwise.llm import bpe, decontamination, exact_dedup, ngram_join, sql, suffix_dedup, toxicity, url_filter
+from stallwise.llm import bpe, common, decontamination, exact_dedup, html_text, ngram_join, sql, suffix_dedup, token_counts, toxicity
+from stallwise.llm import url_filter
 from stallwise.llm.common import documents, ship
+from stallwise.sources import store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+ENGLISH_RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,6 +47,29 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(spark.read.parquet(f"{sf_dir}/pages.parquet")).drop("score")
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents come in, exact copies go, English documents move to another tokenizer; every batch is sent twice."""
+    docs, pattern = documents(spark, sf_dir), public_tokenizers.PATTERN
+    rollup = token_counts.Rollup(spark, store.scratch_path(spark, "token-counts"))
+    counts = common.stored(token_counts.counted(docs, RANK_FILE, pattern, "byte_bpe_multi_50k"), "token-counts-of-documents")
+    gone = exact_dedup.exact_groups(docs).groupBy("doc_id").agg(F.max("kept").alias("kept")).filter("NOT kept").select("doc_id")
+    stayed = counts.join(gone, "doc_id", "left_anti")
+    english = token_counts.counted(docs.filter("lang = 'en'"), ENGLISH_RANK_FILE, pattern, "byte_bpe_50k")
+    batches = {
+        "load": token_counts.inserts(counts),
+        "copies": token_counts.deletes(counts.join(gone, "doc_id", "left_semi")),
+        "english": token_counts.revisions(stayed.filter("lang = 'en'"), english.join(gone, "doc_id", "left_anti")),
+    }
+    for _ in range(2):
+        for batch, changes in batches.items():
+            rollup.apply(batch, changes)
+    return rollup.totals(list(batches))
+
+
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.visible_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -60,6 +87,8 @@ def queries() -> dict[str, Query]:
         "op5_bpe": op5_bpe,
         "op6_suffix_dedup": op6_suffix_dedup,
         "op8_url_filter": op8_url_filter,
+        "op9_token_counts": op9_token_counts,
+        "op10_html_text": op10_html_text,
     }
     return {name: _shipped(query) for name, query in named.items()}
 
