@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallwise.llm import bpe, common, decontamination, exact_dedup, html_text, ngram_join, sql, suffix_dedup, token_counts, toxicity
+from stallwise.llm import bpe, common, decontamination, exact_dedup, html_text, ngram_join, pii, sql, suffix_dedup, token_counts, toxicity
 from stallwise.llm import url_filter
 from stallwise.llm.common import documents, ship
 from stallwise.sources import store
@@ -43,6 +43,10 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.without_repeats(documents(spark, sf_dir), digests=True)
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.found_spans(documents(spark, sf_dir)))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(spark.read.parquet(f"{sf_dir}/pages.parquet")).drop("score")
 
@@ -86,6 +90,7 @@ def queries() -> dict[str, Query]:
         "op4_decontamination": op4_decontamination,
         "op5_bpe": op5_bpe,
         "op6_suffix_dedup": op6_suffix_dedup,
+        "op7_pii": op7_pii,
         "op8_url_filter": op8_url_filter,
         "op9_token_counts": op9_token_counts,
         "op10_html_text": op10_html_text,
