@@ -26,7 +26,7 @@ from collections.abc import Iterable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stallwise.llm import common, pii_model
@@ -270,5 +270,7 @@ def named(span: tuple[int, int, int]) -> str:
 
 def digests(found: DataFrame) -> DataFrame:
     """The counts and digests of a `found_spans` result."""
-    counts = [F.size(F.filter("base", lambda s, k=kind: s.startswith(k + ":"))).cast("long").alias(f"n_{kind}") for kind in KINDS]
-    return found.select("doc_id", *counts, F.sha2(F.array_join("base", ","), 256).alias("base_sha256"), F.array_join("every", ",").alias("spans"))
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda span: span.startswith(f"{kind}:"))).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, KINDS), F.sha2(F.array_join("base", ","), 256).alias("base_sha256"), F.array_join("every", ",").alias("spans"))
