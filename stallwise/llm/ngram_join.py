@@ -12,6 +12,8 @@ Set-relation skipping, in five steps:
    or positions rule out enough overlap is skipped as a whole; sets without a
    possible partner leave the list. What is left gets a leader, the smallest
    node of the list, and only (leader, member) rows go on: linear in the list.
+   Members of a group whose shingle counts by part of the hash space bound every
+   overlap below what a link needs leave it as well.
 4. The sets of a leader's group meet. Their answers are derived from the
    leader's: with what each set lacks of the leader and what it has beyond it,
    an overlap follows from the differences alone, and shingles that a single
@@ -44,6 +46,9 @@ HOT_LIST = 20_000
 ENTRIES_PER_PART = 2_000_000
 #: A group that meets in one task has at most so many sets and shingles (or is one pair of blocks).
 GROUP_SETS, GROUP_SHINGLES = 1_000, 2_000_000
+#: Groups of more sets than this skip the bound by counts.
+COUNTED_SETS = 2_000
+PARTS = 256
 BLOCK = 64
 
 _U = np.uint64
@@ -101,24 +106,45 @@ def _needed(a, b, percent: int):
 
 
 def _prefixes(rank, width: int, percent: int):
-    """(doc_id, n, signature, prefix): the prefix holds tokens, the rank in the top byte and 56 bits of the shingle."""
+    """(doc_id, n, signature, counts, prefix): the prefix holds tokens, the rank in the top byte and 56 bits of the shingle."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         top = rank.value.astype(_U) << _U(56)
         for batch in batches:
             for part, raws in _raws(batch):
-                counts, signatures, prefixes = [], [], []
+                sizes, signatures, counts, prefixes = [], [], [], []
                 for own in shingle_sets(raws, width):
                     tokens = np.sort(top[_cell(own)] | (own >> _U(8)))
-                    counts.append(len(own))
+                    sizes.append(len(own))
+                    counts.append(part_counts(own))
                     signatures.append(signature(own))
                     prefixes.append(tokens[: prefix_length(len(own), percent)].tobytes())
-                arrays = [part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(signatures, pa.binary()), pa.array(prefixes, pa.binary())]
-                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n", "signature", "prefix"])
+                arrays = [part.column("doc_id"), pa.array(sizes, pa.int64()), *(pa.array(x, pa.binary()) for x in (signatures, counts, prefixes))]
+                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n", "signature", "counts", "prefix"])
 
     return run
 
 
+def part_counts(own: np.ndarray) -> bytes:
+    """How many shingles fall into each part of the hash space, in as few bytes as the largest needs."""
+    counts = np.bincount((own & _U(PARTS - 1)).astype(np.int64), minlength=PARTS)
+    return counts.astype(np.min_scalar_type(int(counts.max()))).tobytes()
+
+
+def may_link(sizes: np.ndarray, counts: list[bytes], percent: int) -> np.ndarray:
+    """Which sets have a partner for which the counts by part allow enough overlap."""
+    kinds = {PARTS: np.uint8, 2 * PARTS: np.uint16, 4 * PARTS: np.uint32}
+    matrix = np.stack([np.frombuffer(raw, kinds[len(raw)]).astype(np.int32) for raw in counts])
+    found = np.zeros(len(sizes), bool)
+    for i in range(len(sizes) - 1):
+        other = slice(i + 1, None)
+        most = np.minimum(matrix[i], matrix[other]).sum(axis=1)
+        fits = most >= _needed(sizes[i], sizes[other], percent)
+        found[other] |= fits
+        found[i] |= fits.any()
+    return found
+
+
 def signature(own: np.ndarray) -> bytes:
     """128 bits of a set: two sums of bijections of its shingles."""
     first, second = common.mix(own), common.mix(own ^ _U(0x5851F42D4C957F2D))
@@ -216,18 +242,41 @@ def _lists(percent: int):
                     leader = int(node[run_].min())
                     seen.update((leader, x, y) for x, y in zip(node[run_].tolist(), n[run_].tolist()))
             if len(seen) > 200_000:
-                yield _pairs(seen)
+                yield _rows_of(list(seen))
                 seen = set()
-        yield _pairs(seen)
+        yield _rows_of(list(seen))
 
     return run
 
 
-def _pairs(seen: set[tuple[int, int, int]]) -> pa.RecordBatch:
-    rows = list(seen)
+def _rows_of(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(3)], names=["leader", "member", "n"])
 
 
+def _counted(percent: int):
+    """The (leader, member, n) rows whose member may have a partner in its group; rows come sorted by leader."""
+
+    def chosen(group: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int, int]]:
+        if len(group) < 2:
+            return []
+        found = may_link(np.array([g[2] for g in group]), [g[3] for g in group], percent)
+        return [g[:3] for g, yes in zip(group, found) if yes]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: list[tuple[int, int, int, bytes]] = []
+        for batch in batches:
+            out: list[tuple[int, int, int]] = []
+            for row in zip(*(batch.column(c).to_pylist() for c in ("leader", "member", "n", "counts"))):
+                if group and row[0] != group[0][0]:
+                    out += chosen(group)
+                    group = []
+                group.append(row)
+            yield _rows_of(out)
+        yield _rows_of(chosen(group))
+
+    return run
+
+
 def _hot_rows(hot_rank: int, percent: int):
     """(token, band, node, n) of the lists that are not gathered; linked sets share a band."""
 
@@ -352,11 +401,11 @@ def linked(
     usual = float(np.median(counts))
     hot_rank = int(min(255, 4 * np.log2(max(1.0, usual + max(hot_list, 8 * usual**0.5)))))
     marked = common.stored(
-        rows.mapInArrow(_prefixes(spark.sparkContext.broadcast(rank), width, percent), "doc_id long, n long, signature binary, prefix binary"),
+        rows.mapInArrow(_prefixes(spark.sparkContext.broadcast(rank), width, percent), "doc_id long, n long, signature binary, counts binary, prefix binary"),
         "ngram-prefixes",
     )
     nodes = marked.filter("n > 0").groupBy("signature").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.count("*").alias("copies")
+        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("counts").alias("counts"), F.first("prefix").alias("prefix"), F.count("*").alias("copies")
     )
     nodes = common.stored(nodes.withColumn("node", F.monotonically_increasing_id()), "ngram-nodes")
     entries = nodes.agg(F.sum(F.length("prefix"))).first()[0] or 0
@@ -369,7 +418,13 @@ def linked(
         leaders = hot.groupBy("token", "band").agg(F.min("node").alias("leader"), F.count("*").alias("lists")).filter("lists > 1")
         met = hot.join(leaders, ["token", "band"]).select("leader", F.col("node").alias("member"), "n")
         grouped = grouped.unionByName(met)
-    members = common.stored(grouped.distinct(), "ngram-members")
+    listed = common.stored(grouped.distinct(), "ngram-listed")
+    listed_sets = listed.groupBy("leader").agg(F.count("*").alias("sets")).filter("sets > 1")
+    listed = listed.join(listed_sets, "leader")
+    counted = listed.filter(F.col("sets") <= COUNTED_SETS).join(nodes.select(F.col("node").alias("member"), "counts"), "member")
+    counted = counted.select("leader", "member", "n", "counts").repartition("leader").sortWithinPartitions("leader")
+    passed = counted.mapInArrow(_counted(percent), "leader long, member long, n long")
+    members = common.stored(passed.unionByName(listed.filter(F.col("sets") > COUNTED_SETS).drop("sets")), "ngram-members")
     # Text of the nodes that have possible partners, found by one of their documents.
     involved = members.select(F.col("member").alias("node")).distinct().join(nodes.select("node", "rep", "signature"), "node")
     texts = rows.join(involved, rows["doc_id"].eqNullSafe(involved["rep"])).select("node", "signature", "text")
