@@ -320,7 +320,7 @@ class Renderer:
         if tag in BLOCKS:
             if tag == "pre":
                 self.pre -= 1
-                self.end_line()
+                self.end_line(keep=bool(self.now))
             else:
                 self.end_line()
             self.gap |= tag in SET_OFF and not (tag in LISTS and self.indent)
