@@ -8,6 +8,7 @@ get a decision each, and a null id is a value like any other.
 
 import tempfile
 import zipfile
+from collections import deque
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
@@ -67,6 +68,19 @@ def lower_az(text: Column) -> Column:
     return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def bounded_sample(rows: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """At most n rows, those with the smallest hashes of their keys.
+
+    A first cut by the hash leaves about 2n rows in all, whatever the number of
+    tasks, so that sorting them is a small job.
+    """
+    span = 1 << 40
+    hashed = F.pmod(F.xxhash64(*[column(k) for k in keys], F.lit("sample")), F.lit(span))
+    total = rows.count()
+    few = rows if total <= 2 * n else rows.filter(hashed < span * 2 * n // total)
+    return few.orderBy(hashed, *[column(k) for k in keys]).limit(n)
+
+
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """The rows, written to the shared folder and read back: later steps don't compute them again."""
     spark = frame.sparkSession
@@ -97,21 +111,33 @@ def fresh(name: str, frame: DataFrame) -> str:
     return name
 
 
-def filter_texts(docs: DataFrame, keep: Callable[[Iterable[pa.RecordBatch]], Iterator[tuple[pa.RecordBatch, list[bool]]]], text_col: str = "text") -> DataFrame:
+def filter_texts(docs: DataFrame, keep: Callable[[Iterable[pa.RecordBatch]], Iterator[list[bool]]], text_col: str = "text") -> DataFrame:
     """The rows that `keep` says yes to, with all columns as they are and without a shuffle.
 
-    `keep` gets batches in which the text has the name `_text`, and yields runs of
-    their rows, in order, with a decision for each row.
+    `keep` gets batches with a column `text` and yields a decision for each of
+    their rows, in order, as many at a time as it likes.
     """
-    assert "_text" not in docs.columns, "the name _text is taken"
     names = docs.columns
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, decisions in keep(batches):
-            yield batch.select(names).filter(pa.array(decisions, pa.bool_()))
+        waiting: deque[pa.RecordBatch] = deque()
+        decided: list[bool] = []
+
+        def texts() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                waiting.append(batch)
+                yield pa.RecordBatch.from_arrays([batch.column(len(names))], names=["text"])
+
+        for decisions in keep(texts()):
+            decided += decisions
+            while waiting and len(decided) >= waiting[0].num_rows:
+                batch = waiting.popleft()
+                mask = pa.array(decided[: batch.num_rows], pa.bool_())
+                decided = decided[batch.num_rows :]
+                yield pa.RecordBatch.from_arrays(batch.columns[: len(names)], names=names).filter(mask)
 
     text = F.coalesce(column(text_col).cast("string"), F.lit(""))
-    return docs.withColumn("_text", text).mapInArrow(run, docs.schema)
+    return docs.withColumn(fresh("_text", docs), text).mapInArrow(run, docs.schema)
 
 
 def byte_texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
@@ -119,13 +145,13 @@ def byte_texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     return batch.column(batch.schema.get_field_index(name)).cast(pa.large_binary()).to_pylist()
 
 
-def shards(batches: Iterable[pa.RecordBatch], most_bytes: int, name: str = "text") -> Iterator[pa.RecordBatch]:
+def shards(batches: Iterable[pa.RecordBatch], most_bytes: int) -> Iterator[pa.RecordBatch]:
     """The rows of a task in runs of about `most_bytes`; a longer single row is a run of its own."""
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
         start = 0
-        at = batch.schema.get_field_index(name)
+        at = batch.schema.get_field_index("text")
         lengths = np.array([len(x) for x in batch.column(at).cast(pa.large_binary()).to_pylist()], dtype=np.int64)
         for i, n in enumerate(lengths.tolist()):
             if size and size + n > most_bytes:

@@ -34,7 +34,7 @@ from stallwise.llm import common
 
 WINDOW = 10
 #: Benchmark text that is searched for (and sent to the executors) at once.
-BLOCK_BYTES = 16 * 1024 * 1024
+BLOCK_BYTES = 2 * 1024 * 1024
 SHARD_BYTES = 4 * 1024 * 1024
 
 _WORD_BYTES = bytes(b if b in common.LOWER.encode() + b"0123456789" or b > 127 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
@@ -269,10 +269,9 @@ def drop_contaminated(
 
 
 def _clean(block: Broadcast):
-    def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bool]]]:
+    def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[list[bool]]:
         windows = Windows(block.value)
-        for shard in common.shards(batches, SHARD_BYTES, "_text"):
-            _, spans, _ = hits(common.byte_texts(shard, "_text"), windows)
-            yield shard, [not s for s in spans]
+        for shard in common.shards(batches, SHARD_BYTES):
+            yield [not s for s in hits(common.byte_texts(shard), windows)[1]]
 
     return keep

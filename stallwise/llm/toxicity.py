@@ -10,14 +10,18 @@ runs of single characters (`b a d`) count as one word as well; words longer than
 
 Labels belong to documents, so the machine learns which words make a document
 toxic: all words of clean documents are negative, and each toxic document has
-at least one positive word, chosen anew by the machine of the round before.
+at least one positive word, chosen anew by the machine of the round before; words
+that more toxic documents share than chance allows, and no clean one has, are
+positive throughout.
 Landmarks are words of both kinds; a word's features are its kernel values with
 them, whitened. The decision is linear in the kernel's own feature space, so it
 is folded into one weight for each three characters (a fixed 1 MB), and scoring
 a word costs the same however many landmarks there are.
 
-The score of a document is the calibrated maximum over its words. Training
-reads a bounded sample: at most `SAMPLE` labelled documents of each class and
+The score of a document is a logistic regression on its words' highest
+decisions and on how many words reach each level, so several words that are a
+little suspicious count as well. It is fitted on documents that the machine did
+not learn from. Training reads a bounded sample: at most `SAMPLE` labelled documents of each class and
 `MOST_BYTES` of text in each of them, by the order of a hash of the id. Scoring
 reads everything.
 
@@ -27,6 +31,7 @@ if there is none).
 """
 
 import re
+import zlib
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -41,8 +46,8 @@ from stallwise.llm import common
 SAMPLE = 2_000
 MOST_BYTES = 65_536
 SPAN, DECAY, LONGEST = 7, 0.7, 24
-LANDMARKS, ROUNDS = 256, 4
-FLOOR = -3.0
+LANDMARKS, ROUNDS, MINED = 256, 4, 1_000
+FLOOR, LEVELS = -3.0, (-1.5, -1.0, -0.5, 0.0, 0.5)
 
 _CODES = 64
 _EDGE = 27
@@ -162,10 +167,11 @@ def folded_values(words: Sequence[str], weights: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Model:
+    """Weights of character subsequences for words, and of what a document's words come to."""
+
     weights: np.ndarray
     bias: float
-    slope: float
-    shift: float
+    document: np.ndarray
 
     def values(self, words: Sequence[str]) -> np.ndarray:
         """The decision for each word, the largest over its parts."""
@@ -181,8 +187,19 @@ class Model:
         units = [units_of(text) for text in texts]
         new = list(set().union(*units).difference(known)) if units else []
         known.update(zip(new, self.values(new).tolist()))
-        top = np.array([max(map(known.__getitem__, own), default=FLOOR) for own in units])
-        return (1 / (1 + np.exp(-np.clip(self.slope * (top - self.shift), -30, 30)))).tolist()
+        if not texts:
+            return []
+        rows = np.array([evidence(np.fromiter(map(known.__getitem__, own), float, len(own))) for own in units])
+        return (1 / (1 + np.exp(-np.clip(rows @ self.document, -30, 30)))).tolist()
+
+
+def evidence(values: np.ndarray) -> np.ndarray:
+    """What the decisions on a document's words come to: the highest ones, and how many reach each level."""
+    top = np.full(5, FLOOR)
+    highest = np.sort(values)[::-1][:5]
+    top[: len(highest)] = highest
+    reach = [np.log1p((values > level).sum()) for level in LEVELS]
+    return np.array([top[0], top[1], top[2], top[4], *reach, np.log1p(len(values)) / 5, 1.0])
 
 
 def units_of(text: str) -> set[str]:
@@ -199,13 +216,20 @@ def _machine(features: np.ndarray, labels: np.ndarray, weight: np.ndarray, ridge
     penalty = ridge * np.eye(x.shape[1])
     penalty[-1, -1] = 1e-6
     w = np.zeros(x.shape[1])
-    for _ in range(12):
+
+    def loss(v: np.ndarray) -> float:
+        return float((weight * np.maximum(0, 1 - labels * (x @ v)) ** 2).sum() + v @ penalty @ v)
+
+    now = loss(w)
+    for _ in range(40):
         inside = labels * (x @ w) < 1
         own = x[inside] * weight[inside, None]
-        new = np.linalg.solve(own.T @ x[inside] + penalty, own.T @ labels[inside])
-        if np.allclose(new, w, atol=1e-6):
+        step, size = np.linalg.solve(own.T @ x[inside] + penalty, own.T @ labels[inside]) - w, 1.0
+        while (new := loss(w + size * step)) > now and size > 1e-3:
+            size /= 2
+        w, last, now = w + size * step, now, min(now, new)
+        if last - now < 1e-6 * last:
             break
-        w = new
     return w[:-1], float(w[-1])
 
 
@@ -215,27 +239,35 @@ def _spread(items: Sequence, n: int) -> list:
 
 def train(sample: Sequence[tuple[str, int]]) -> Model:
     """The machine from (text, label) rows."""
-    none = np.zeros(_CODES**3, np.float32)
+    none, constant = np.zeros(_CODES**3, np.float32), np.zeros(len(LEVELS) + 6)
     bags = [({p for u in units_of(text) for p in _parts(u)} - {""}, label) for text, label in sample]
     toxic, clean = [b for b, y in bags if y == 1], [b for b, y in bags if y == 0]
+    constant[-1] = -30 if not toxic else 30
     if not toxic or not clean:
-        return Model(none, 0.0, 0.0 if not bags else 30.0 if toxic else -30.0, -1.0)
-    # A fifth of the documents only sets the threshold.
-    judging = [side[::5] for side in (clean, toxic)] if min(len(clean), len(toxic)) >= 50 else [clean, toxic]
-    learning = [[b for i, b in enumerate(side) if i % 5] for side in (clean, toxic)] if min(len(clean), len(toxic)) >= 50 else judging
-    often: dict[str, int] = {}
+        return Model(none, 0.0, constant)
+    # A third of the documents teaches what the words of a document come to.
+    many = min(len(clean), len(toxic)) >= 30
+    judging = [side[::3] for side in (clean, toxic)] if many else [clean, toxic]
+    learning = [[b for i, b in enumerate(side) if i % 3] for side in (clean, toxic)] if many else judging
+    # Copies and near copies of a document mostly share the word with the least hash, and count once.
+    kinds: dict[str, set[int]] = {}
     for bag in learning[1]:
+        kind = min((zlib.crc32(word.encode("utf-8", "replace")) for word in bag), default=0)
         for word in bag:
-            often[word] = often.get(word, 0) + 1
+            kinds.setdefault(word, set()).add(kind)
+    often = {word: len(own) for word, own in kinds.items()}
     negative = sorted(set().union(*learning[0]))
     known = set(negative)
     # At first: any word that only toxic documents have, by their number.
     positive = sorted((w for w in often if w not in known), key=lambda w: (-often[w], w))
     if not positive:
-        return Model(none, 0.0, 0.0, 0.0)
+        return Model(none, 0.0, -np.abs(constant))
+    # So many toxic documents share a word that no clean one has only if there is a reason:
+    # by chance, less than one word would reach this.
+    sure = np.log(len(often) + len(negative)) / np.log(1 + len(learning[0]) / len(learning[1]))
     chosen, weight = positive[:5000], np.array([often[w] for w in positive[:5000]], dtype=float) ** 2
     hard = _spread(negative, 5000)
-    model = Model(none, 0.0, 1.0, 0.0)
+    model = Model(none, 0.0, constant)
     for _ in range(ROUNDS):
         marks = list(dict.fromkeys([*chosen[: LANDMARKS // 4], *_spread(chosen, LANDMARKS // 4), *_spread(hard, LANDMARKS // 2)]))
         among, basis = np.linalg.eigh(kernel(marks, marks))
@@ -248,30 +280,37 @@ def train(sample: Sequence[tuple[str, int]]) -> Model:
         weights = none.copy()
         for (numbers, values), beta in zip(feature_rows(marks), whiten @ w):
             np.add.at(weights, numbers, (beta * values).astype(np.float32))
-        model = Model(weights, bias, 1.0, 0.0)
+        model = Model(weights, bias, constant)
         # The worst word of each toxic document, and the clean words that the machine finds bad.
         found = dict(zip(positive, model.values(positive).tolist()))
-        picked: dict[str, float] = {}
+        picked: dict[str, float] = {w: 1.0 for w in positive if often[w] >= sure}
         for bag in learning[1]:
             own = max(((found[w], w) for w in bag if w in found), default=None)
             if own:
                 picked[own[1]] = picked.get(own[1], 0.0) + 1.0
         chosen = sorted(picked, key=lambda w: (-picked[w], w))
         weight = np.sqrt([picked[w] for w in chosen])
-        worst = np.argsort(-model.values(negative), kind="stable")[:2500]
-        hard = list(dict.fromkeys([*(negative[i] for i in worst), *_spread(negative, 4000)]))
-    top = [np.array([model.values(sorted(b)).max(initial=FLOOR) for b in side]) for side in judging]
-    return Model(model.weights, model.bias, *_calibrated(top[0], top[1]))
-
-
-def _calibrated(clean: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of the logistic score: the shift leaves the fewest errors and lies in the middle of its gap."""
-    cuts = np.unique(np.concatenate([clean, toxic]))
-    cuts = np.concatenate([[cuts[0] - 1], (cuts[1:] + cuts[:-1]) / 2, [cuts[-1] + 1]])
-    below, above = np.sort(toxic), np.sort(clean)
-    errors = np.searchsorted(below, cuts, side="right") / len(toxic) + 1 - np.searchsorted(above, cuts, side="right") / len(clean)
-    best = np.flatnonzero(errors == errors.min())
-    return 6.0, float(np.median(cuts[best]))
+        worst = np.argsort(-model.values(negative), kind="stable")[:MINED]
+        hard = list(dict.fromkeys([*(negative[i] for i in worst), *_spread(negative, 5000)]))
+    rows = np.array([evidence(model.values(sorted(b))) for side in judging for b in side])
+    labels = np.repeat([0.0, 1.0], [len(side) for side in judging])
+    return Model(model.weights, model.bias, _logistic(rows, labels))
+
+
+def _logistic(rows: np.ndarray, labels: np.ndarray, ridge: float = 0.1) -> np.ndarray:
+    """Logistic regression by Newton steps; the rarer class counts more, by the root of the ratio."""
+    ratio = np.sqrt((labels == 0).sum() / (labels == 1).sum())
+    weight = np.where(labels == 1, max(1.0, ratio), max(1.0, 1 / ratio))
+    penalty = ridge * np.eye(rows.shape[1])
+    penalty[-1, -1] = 1e-4
+    w = np.zeros(rows.shape[1])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-np.clip(rows @ w, -30, 30)))
+        step = np.linalg.solve((rows * (weight * np.maximum(p * (1 - p), 1e-4))[:, None]).T @ rows + penalty, rows.T @ (weight * (labels - p)) - penalty @ w)
+        w = w + step * min(1.0, 5 / max(1e-9, np.abs(step).max()))
+        if np.abs(step).max() < 1e-6:
+            break
+    return w
 
 
 def held_out(doc_id: Column) -> Column:
@@ -282,8 +321,7 @@ def held_out(doc_id: Column) -> Column:
 def sample_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[tuple[str, int]]:
     """The bounded training sample: (text, label), at most `sample` documents of each class."""
     learned = labels.filter(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    order = F.xxhash64(F.col("doc_id"), F.lit("sample"))
-    chosen = [learned.filter(F.col("toxic") == y).orderBy(order, "doc_id").limit(sample) for y in (0, 1)]
+    chosen = [common.bounded_sample(learned.filter(F.col("toxic") == y), ["doc_id"], sample) for y in (0, 1)]
     both = F.broadcast(chosen[0].unionByName(chosen[1]))
     rows = docs.filter(F.octet_length("text") <= MOST_BYTES).join(both, "doc_id").select("doc_id", "text", "toxic")
     return [(r["text"], r["toxic"]) for r in sorted(rows.collect(), key=lambda r: (r["doc_id"], r["text"]))]
@@ -295,14 +333,14 @@ def trained(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     return docs.sparkSession.sparkContext.broadcast(train(rows))
 
 
-def _scores(model: Broadcast, batches: Iterable[pa.RecordBatch], name: str) -> Iterator[tuple[pa.RecordBatch, list[float]]]:
+def _scores(model: Broadcast, batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[float]]]:
     known: dict[str, float] = {}
     for whole in batches:
         for at in range(0, whole.num_rows, 500):
             batch = whole.slice(at, 500)
             if len(known) > 400_000:
                 known.clear()
-            yield batch, model.value.scores(batch.column(batch.schema.get_field_index(name)).to_pylist(), known)
+            yield batch, model.value.scores(batch.column("text").to_pylist(), known)
 
 
 def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
@@ -310,7 +348,7 @@ def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     model = trained(docs, labels, id_col, text_col, sample)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, scores in _scores(model, batches, "text"):
+        for batch, scores in _scores(model, batches):
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
     found = common.text_rows(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")
@@ -321,8 +359,8 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     """The documents that are not predicted toxic; the columns stay as they are."""
     model = trained(docs, labels, id_col, text_col, sample)
 
-    def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bool]]]:
-        for batch, scores in _scores(model, batches, "_text"):
-            yield batch, [s < 0.5 for s in scores]
+    def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[list[bool]]:
+        for _, scores in _scores(model, batches):
+            yield [s < 0.5 for s in scores]
 
     return common.filter_texts(docs, keep, text_col)

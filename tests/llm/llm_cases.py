@@ -4,7 +4,7 @@ import random
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Columns that operators use inside, as columns of the input.
-CLASHING = ["k", "digest", "kept", "signature", "component", "node", "spans", "prefix", "keep_id", "hot", "score", "_hot", "n"]
+CLASHING = ["k", "digest", "kept", "signature", "component", "node", "spans", "prefix", "keep_id", "hot", "score", "_hot", "n", "_text", "dropped", "_spread"]
 
 
 def frame(spark, rows, schema="doc_id long, text string"):
