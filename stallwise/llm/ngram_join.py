@@ -54,7 +54,7 @@ BLOCK = 64
 _U = np.uint64
 
 
-def _raws(batch: pa.RecordBatch, step: int = 500) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def _raws(batch: pa.RecordBatch, step: int = 200) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     for at in range(0, batch.num_rows, step):
         part = batch.slice(at, step)
         yield part, common.byte_texts(part)
@@ -241,7 +241,7 @@ def _lists(percent: int):
                 if len(run_) > 1:
                     leader = int(node[run_].min())
                     seen.update((leader, x, y) for x, y in zip(node[run_].tolist(), n[run_].tolist()))
-            if len(seen) > 200_000:
+            if len(seen) > 50_000:
                 yield _rows_of(list(seen))
                 seen = set()
         yield _rows_of(list(seen))

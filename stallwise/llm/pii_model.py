@@ -14,7 +14,6 @@ import numpy as np
 
 KINDS = ("email", "ip", "card", "phone")
 TAGS = 1 + 2 * len(KINDS)
-_LOW = -1e4
 
 
 def _class_table() -> np.ndarray:

@@ -336,9 +336,9 @@ def trained(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
 def _scores(model: Broadcast, batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[float]]]:
     known: dict[str, float] = {}
     for whole in batches:
-        for at in range(0, whole.num_rows, 500):
-            batch = whole.slice(at, 500)
-            if len(known) > 400_000:
+        for at in range(0, whole.num_rows, 200):
+            batch = whole.slice(at, 200)
+            if len(known) > 250_000:
                 known.clear()
             yield batch, model.value.scores(batch.column("text").to_pylist(), known)
 
