@@ -43,9 +43,9 @@ from pyspark.sql import functions as F
 from stallwise.llm import common
 
 #: Window starts that are looked at together; longer documents are taken in such parts.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 #: Suffixes of a sorted run.
-RUN = 100_000
+RUN = 40_000
 GROUP_MOST = 10_000
 SMALL_GROUP = 8
 
@@ -142,7 +142,8 @@ def _anchors_of(pieces: list[tuple[int, bytes]], length: int, gram: int) -> list
     offsets = np.fromiter((at for at, _ in pieces), np.int64, len(pieces))
     place = ((s - begins[piece] + offsets[piece]) << 32) | ((a - s) << 16) | (e - s)
     cuts = np.searchsorted(piece, np.arange(1, len(pieces)))
-    columns = grams[a].view(np.int64), common.mix(context).view(np.int64), place
+    # Anchors have small hashes; spread again, their numbers fill the range evenly.
+    columns = common.mix(grams[a]).view(np.int64), common.mix(context).view(np.int64), place
     return list(zip(*(np.split(c, cuts) for c in columns)))
 
 
@@ -154,8 +155,8 @@ def _lists(parts: list[np.ndarray]) -> pa.ListArray:
 def _anchor_rows(length: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
                 found = anchors(common.byte_texts(part), length)
                 columns = [_lists([f[i] for f in found]) for i in range(3)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("k"), *columns], names=["doc_id", "k", "gram", "context", "place"])
@@ -415,12 +416,14 @@ def repeated_spans(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     by_document = common.stored(rows.mapInArrow(_anchor_rows(length), kinds), "suffix-anchors")
     every = by_document.select("doc_id", "k", F.inline(F.arrays_zip("gram", "context", "place")))
     grams = every.groupBy("gram").agg(F.count("*").alias("n"), F.min("context").alias("low"), F.max("context").alias("high"))
-    grams = grams.filter("n > 1").select("gram", (F.col("low") != F.col("high")).alias("mixed"))
+    # Joined as tables of their own, so that a gram that fills a partition can be split.
+    grams = common.stored(grams.filter("n > 1").select("gram", (F.col("low") != F.col("high")).alias("mixed")), "suffix-grams")
     again = common.stored(every.join(grams, "gram"), "suffix-repeated")
     least = F.min(F.struct("doc_id", "k", "place")).alias("first")
     contexts = common.stored(again.filter("mixed").groupBy("gram", "context").agg(F.count("*").alias("n"), least), "suffix-contexts")
     single = F.sum((F.col("n") == 1).cast("long")).alias("single")
     open_grams = contexts.groupBy("gram").agg(F.count("*").alias("contexts"), single).filter("single > 0")
+    open_grams = common.stored(open_grams, "suffix-open-grams")
     wanted = contexts.join(open_grams, "gram").select("gram", "first.*", (F.col("contexts") > group_most).alias("hot"))
     wanted = common.stored(wanted, "suffix-wanted")
     place = F.col("place")
