@@ -4,7 +4,6 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stallwise.llm import bpe, common, decontamination, exact_dedup, html_text, ngram_join, pii, sql, suffix_dedup, token_counts, toxicity
 from stallwise.llm import url_filter
@@ -52,16 +51,16 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents come in, exact copies go, English documents move to another tokenizer; every batch is sent twice."""
+    """All documents come in, those of low quality go, English ones move to another tokenizer; every batch is sent twice."""
     docs, pattern = documents(spark, sf_dir), public_tokenizers.PATTERN
     rollup = token_counts.Rollup(spark, store.scratch_path(spark, "token-counts"))
     counts = common.stored(token_counts.counted(docs, RANK_FILE, pattern, "byte_bpe_multi_50k"), "token-counts-of-documents")
-    gone = exact_dedup.exact_groups(docs).groupBy("doc_id").agg(F.max("kept").alias("kept")).filter("NOT kept").select("doc_id")
+    gone = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("quality = 0").select("doc_id").distinct()
     stayed = counts.join(gone, "doc_id", "left_anti")
     english = token_counts.counted(docs.filter("lang = 'en'"), ENGLISH_RANK_FILE, pattern, "byte_bpe_50k")
     batches = {
         "load": token_counts.inserts(counts),
-        "copies": token_counts.deletes(counts.join(gone, "doc_id", "left_semi")),
+        "quality": token_counts.deletes(counts.join(gone, "doc_id", "left_semi")),
         "english": token_counts.revisions(stayed.filter("lang = 'en'"), english.join(gone, "doc_id", "left_anti")),
     }
     for _ in range(2):
