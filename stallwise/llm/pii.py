@@ -187,7 +187,7 @@ def labelled_windows(texts: Sequence[str], n: int = 2000, seed: int = 5) -> list
 
 def stretches(text: str) -> list[tuple[int, int]]:
     """Where the tagger reads: the surroundings of digits, @ and spelled-out dots."""
-    if not (_ANY.search(text) or "dot" in text or "DOT" in text or "Dot" in text):
+    if not (_ANY.search(text) or "dot" in text.lower()):
         return []
     out: list[tuple[int, int]] = []
     for m in _TRIGGERS.finditer(text):
@@ -238,9 +238,9 @@ def added_spans(tagger: pii_model.Tagger, texts: Sequence[str], base: Sequence[l
 
 
 def trained(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Broadcast:
-    """The tagger, sent to the executors (under 100 KB), from a bounded sample by the order of a hash of the text."""
+    """The tagger, sent to the executors (under 100 KB), from a bounded sample by the order of a hash."""
     rows = common.text_rows(docs, id_col, text_col).filter((F.octet_length("text") <= MOST_BYTES) & F.col("text").rlike("[0-9@]"))
-    chosen = rows.select("text", F.xxhash64("text").alias("h")).orderBy("h", "text").limit(sample).collect()
+    chosen = common.bounded_sample(rows, ["doc_id", "text"], sample).collect()
     tagger = pii_model.train(labelled_windows([r["text"] for r in chosen]))
     return docs.sparkSession.sparkContext.broadcast(tagger)
 
