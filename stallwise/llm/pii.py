@@ -7,11 +7,15 @@ dots, phones without a plus. It is trained on labelled spans: base spans of a
 bounded sample of documents in their surroundings, the same spans respelled, and
 surroundings with numbers that are nothing of the kind.
 
-Every span has a digit, an @ or a spelled-out dot in it, so the tagger reads the
-text within `CONTEXT` characters of those, wherever they are in the text.
+Every span that can pass the checks has a digit or an @ in it, or is a name, a
+spelled-out at and a domain. The tagger reads these, whatever their length, and
+the text within `CONTEXT` characters of them, wherever they are in the text.
 Stretches longer than a window are read in overlapping windows; each character's
 scores are the mean of its windows', weighted towards their middles, and one
 CRF pass over the whole stretch decides, so no span is cut where windows meet.
+Emails are judged whole: the scores of a name, an at and a domain as one span are
+held against those of plain text; an at in brackets, or a domain without spaced
+full stops that ends in one of `TOP`, is one without question.
 An added span has to pass the checks of its kind in its plain spelling and may
 not overlap a base span.
 
@@ -42,7 +46,22 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _ANY = re.compile(r"[0-9@]")
-_TRIGGERS = re.compile(r"[0-9@]|(?<![A-Za-z0-9])[dD][oO][tT](?![A-Za-z0-9])")
+_DOT = r"(?:\s*+[\[({<]\s*+(?:[dD][oO][tT]|\.)\s*+[\])}>]\s*+|\s++[dD][oO][tT]\s++|\s*+\.\s*+)"
+#: An @ in any spelling that `plausible` takes with the domain behind it; a digit, a single @, a spelled-out dot.
+_TRIGGERS = re.compile(
+    r"(?P<at>@|(?<=[\s\[({<])[aA][tT](?=[\s\])}>]))\s*+(?:[\])}>]\s*+)?+[A-Za-z0-9-]++"
+    rf"(?:{_DOT}[A-Za-z0-9-]++)++"
+    r"|[0-9@]|(?<![A-Za-z0-9])[dD][oO][tT](?![A-Za-z0-9])"
+)
+#: The name before a spelled at, read backwards.
+_NAME = re.compile(r"[\s\[({<]*+(?:[A-Za-z0-9_%+-]++|\s*+[\])}>]\s*+(?:[tT][oO][dD]|\.)\s*+[\[({<]\s*+|\s++[tT][oO][dD]\s++|\s*+\.\s*+)*+")
+#: A full stop with a space may as well end a sentence.
+_STOP = re.compile(r"(?:\s+\.\s*|\.\s+)(?=[A-Za-z0-9_%+-])")
+_LABEL = re.compile(r"[A-Za-z0-9-]+\Z")
+#: Ends of domains that make a spelled email of any name, at and domain.
+TOP = frozenset("com org net edu gov mil int info biz io co eu de uk us fr es nl be ch se dk fi pl cz ru ua jp cn kr br mx au nz ca za ie pt gr hu ro tr il sg hk tw".split())
+_CLOSED = re.compile(r"\s*[\])}>]")
+_DOT_MARKS = " \t\n\r\f\v\xa0[](){}<>.dotDOT"
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 
 
@@ -111,11 +130,15 @@ def plausible(kind: int, text: str) -> bool:
 
 # Labelled windows
 
+EMAIL_FORMS = [(" at ", " dot "), (" (at) ", " (dot) "), ("[at]", "[dot]"), (" AT ", " DOT "), (" [at] ", "."), (" at ", "."), ("(at)", ".")]
+BEFORE = ["", "of the and ", "write to ", "the address is ", "please ask ", "He said: ", "mail me:\n", "or reach ", "is from "]
+AFTER = ["", " in that.", " for more.", ", or call", " is where he was", "\nthanks", " and the rest", ". It was then", ") with all"]
+
 
 def respelled(kind: int, text: str, random: np.random.Generator) -> str:
     """The same value in another spelling."""
     if kind == 0:
-        at, dot = [(" at ", " dot "), (" (at) ", " (dot) "), ("[at]", "[dot]"), (" AT ", " DOT "), (" [at] ", "."), (" at ", ".")][random.integers(6)]
+        at, dot = EMAIL_FORMS[random.integers(len(EMAIL_FORMS))]
         name, domain = text.split("@", 1)
         return name + at + domain.replace(".", dot)
     if kind == 1:
@@ -144,7 +167,10 @@ def _invented(kind: int, random: np.random.Generator) -> str:
 
 
 def _number(random: np.random.Generator) -> str:
-    """A number that is no personal data."""
+    """A number, or words around an at, that are no personal data."""
+    if random.random() < 0.12:
+        one, place, next_one = ("".join(common.LOWER[i] for i in random.integers(0, 26, random.integers(2, 9))) for _ in range(3))
+        return f"{one} at {place}" + [". " + next_one.title(), ". " + next_one, " " + next_one, ", " + next_one][random.integers(4)]
     digits = "".join(map(str, random.integers(0, 10, 24)))
     forms = [digits[:4], digits[:2] + "." + digits[2:4], "19" + digits[:2], digits[:3] + "," + digits[3:6], digits[:7], "v" + digits[0] + "." + digits[1] + "." + digits[2], digits[:24], f"{digits[:4]}-{digits[4:6]}-{digits[6:8]}", f"{digits[:2]}:{digits[2:4]}", "#" + digits[:6], "$" + digits[:5] + ".00", digits[:2] + "%"]
     return forms[random.integers(len(forms))]
@@ -168,8 +194,8 @@ def labelled_windows(texts: Sequence[str], n: int = 2000, seed: int = 5) -> list
         source = pick()
         at = int(random.integers(0, max(1, len(source) - 120)))
         before, after = source[at : at + int(random.integers(0, 50))], source[at + 60 : at + 60 + int(random.integers(0, 50))]
-        if any(_ANY.search(x) for x in (before, after)):
-            before, after = "of the and ", " in that."
+        if random.random() < 0.3 or any(_ANY.search(x) for x in (before, after)):
+            before, after = BEFORE[random.integers(len(BEFORE))], AFTER[random.integers(len(AFTER))]
         kind = int(random.integers(6))
         if kind > 3:
             value, spans = _number(random), []
@@ -185,17 +211,65 @@ def labelled_windows(texts: Sequence[str], n: int = 2000, seed: int = 5) -> list
 # Decoding
 
 
+def name_start(text: str, at: int) -> int:
+    """Where the name that stands before a spelled at begins."""
+    reach = 64
+    while True:
+        low = max(0, at - reach)
+        start = at - _NAME.match(text[low:at][::-1]).end()
+        # What is left could be the end of a spelled-out dot that the cut at `low` hides.
+        if not low or text[low:start].strip(_DOT_MARKS):
+            return start
+        reach *= 4
+
+
 def stretches(text: str) -> list[tuple[int, int]]:
-    """Where the tagger reads: the surroundings of digits, @ and spelled-out dots."""
-    if not (_ANY.search(text) or "dot" in text.lower()):
+    """Where the tagger reads: spelled emails, digits, @ and spelled-out dots with their surroundings."""
+    lowered = "" if _ANY.search(text) else text.lower()
+    if lowered and "at" not in lowered and "dot" not in lowered:
         return []
     out: list[tuple[int, int]] = []
     for m in _TRIGGERS.finditer(text):
-        start, end = max(0, m.start() - CONTEXT), min(len(text), m.end() + CONTEXT)
-        if out and start <= out[-1][1]:
-            out[-1] = out[-1][0], end
-        else:
-            out.append((start, end))
+        start = name_start(text, m.start()) if m["at"] else m.start()
+        start, end = max(0, start - CONTEXT), min(len(text), m.end() + CONTEXT)
+        while out and start <= out[-1][1]:
+            start = min(start, out.pop()[0])
+        out.append((start, end))
+    return out
+
+
+def spelled_emails(text: str, start: int, end: int) -> Iterator[tuple[list[int], list[int], bool]]:
+    """Where each name, at and domain between the two places may start and may end, and whether it can be nothing else."""
+    for m in _TRIGGERS.finditer(text, start, end):
+        if m["at"]:
+            name = name_start(text, m.start())
+            while text[name] not in _LOCAL and name < m.start():
+                name += 1
+            ends = [*(x.start() for x in _STOP.finditer(text, m.end("at"), m.end())), m.end()]
+            if len(ends) > 1 and not re.search(_DOT, text[m.end("at") : ends[0]]):
+                del ends[0]  # a domain has two parts
+            sure = m["at"] != "@" and bool(_CLOSED.match(text, m.end("at")))
+            if not _STOP.search(text, m.end("at"), ends[0]) and _LABEL.search(text, m.end("at"), ends[0])[0].lower() in TOP:
+                ends, sure = ends[:1], True
+            yield [name, *(x.end() for x in _STOP.finditer(text, name, m.start()))], ends, sure
+
+
+def judged_emails(tagger: pii_model.Tagger, scores: np.ndarray, text: str, start: int) -> list[tuple[int, int, int]]:
+    """The spelled emails of a stretch, each as a whole: the sure ones, and of the others what the tagger's scores take for one."""
+    moves, first = tagger.weights["moves"], tagger.weights["first"]
+    gain = np.concatenate([[0.0], np.cumsum(scores[:, 2] - scores[:, 0] + moves[2, 2] - moves[0, 0], dtype=np.float64)])
+    out: list[tuple[int, int, int]] = []
+    for starts, ends, sure in spelled_emails(text, start, start + len(scores)):
+        def opening(a: int) -> float:
+            entry = moves[0, 1] if a else first[1] - first[0] + moves[0, 0]
+            return gain[a] + scores[a, 2] - scores[a, 1] - entry - moves[1, 2] + 2 * moves[2, 2]
+
+        def closing(b: int) -> float:
+            return gain[b] + (moves[2, 0] - moves[0, 0] if b < len(scores) else 0.0)
+
+        a, b = min((x - start for x in starts), key=opening), max((x - start for x in ends), key=closing)
+        if sure or closing(b) > opening(a):
+            out.append((0, a + start, b + start))
     return out
 
 
@@ -229,8 +303,11 @@ def added_spans(tagger: pii_model.Tagger, texts: Sequence[str], base: Sequence[l
         for place in finished:
             i, start, _ = places[place]
             total, weight = sums.pop(place)
-            for kind, a, b in pii_model.spans_of(tagger.decode(total / weight)):
-                span = kind, a + start, b + start
+            total /= weight
+            spelled = judged_emails(tagger, total, texts[i], start)
+            decoded = [(kind, a + start, b + start) for kind, a, b in pii_model.spans_of(tagger.decode(total))]
+            for span in spelled + [s for s in decoded if all(s[2] <= x or y <= s[1] for _, x, y in spelled)]:
+                kind = span[0]
                 if plausible(kind, texts[i][span[1] : span[2]]) and all(span[2] <= x or y <= span[1] for _, x, y in base[i]):
                     out[i].append(span)
         waiting = [p for p in waiting if p in sums]

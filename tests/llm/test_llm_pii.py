@@ -74,6 +74,25 @@ def test_held_out_spans_are_found_and_nothing_else(tagger):
     assert hit / total > 0.85 and wrong / total < 0.03
 
 
+@pytest.mark.parametrize("at, dot", [*pii.EMAIL_FORMS, ("[at]", "."), (" @ ", " dot ")])
+def test_respelled_emails_without_digits_are_all_found(tagger, at, dot):
+    names = ["jane.doe@example.com", "jane@example.com", "jane@mail.example.org", "anna_berg@uni-town.net", "a.b-c+d@e.f.org", "q" * 90 + "@" + "w" * 90 + ".com"]
+    for name, domain in (n.split("@") for n in names):
+        value = name + at + domain.replace(".", dot)
+        for before, after in (("", ""), ("We met. Write to ", " for more."), ("the contact is ", ", or call"), ("Ask:\n", ". Then wait."), ("x " * 500, " x" * 500)):
+            text = before + value + after
+            assert pii.added_spans(tagger, [text], [pii.base_spans(text)])[0] == [(0, len(before), len(before) + len(value))], text
+
+
+def test_prose_with_at_is_no_email_and_long_runs_are_linear(tagger):
+    for text in ("He looked at home. Then he left.", "We met at noon. It was late", "at last", "She stayed at 3.5 percent"):
+        assert pii.added_spans(tagger, [text], [[]])[0] == [], text
+    for unit in ("at-", " at a", ". a", "at ", "a . ", " at a. b", "(at", " "):
+        text = "x at y." + unit * 20_000
+        assert all(0 <= a < b <= len(text) for a, b in pii.stretches(text))
+        list(pii.spelled_emails(text, 0, len(text)))
+
+
 def test_windows_are_reconciled(tagger):
     """A stretch of numbers much longer than a window: spans are found wherever they lie, and only once."""
     one = "reach 625.555.7196 or "
