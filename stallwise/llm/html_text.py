@@ -8,8 +8,9 @@ order:
 * invisible are head, scripts, styles, templates and their like, comments,
   elements with `hidden`, with `display:none` or `visibility:hidden` in their
   style attribute or by a simple selector (tag, .class, #id, tag.class) of the
-  page's own styles, all options but the selected one, and the body of closed
-  details;
+  page's own styles, as far as these hold on a wide screen (`SCREEN`), all
+  options but the selected one, the body of closed details, and what SVG and
+  MathML only define or annotate;
 * blocks begin on a new line, paragraphs, headings, lists and tables are set
   off by an empty line, `br` breaks, white space collapses except in pre;
 * list items get a dash or their number and are indented by depth;
@@ -35,18 +36,25 @@ DEEPEST = 20
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?", re.S)
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+_CSS = re.compile(r"\"(?:[^\"\\\n]|\\.)*+\"|'(?:[^'\\\n]|\\.)*+'|([{};])", re.S)
+_DISPLAY = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([\w-]+)\s*(!\s*important)?", re.I)
+#: Width and height in pixels, what a screen is, and what it is not.
+SCREEN = {"width": 1920.0, "height": 1080.0, "device-width": 1920.0, "device-height": 1080.0}
+_FEATURES = {"orientation": "landscape", "hover": "hover", "any-hover": "hover", "pointer": "fine", "prefers-color-scheme": "light", "prefers-reduced-motion": "no-preference", "scripting": "enabled"}
+_BOUND = re.compile(r"(?:([\d.]+)(px|em|rem)?\s*(<=?|>=?)\s*)?([a-z-]+)\s*(?:(<=?|>=?|=|:)\s*([\d.]+)(px|em|rem)?)?")
 _HIDING = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
 _SELECTOR = re.compile(r"^([a-z][a-z0-9]*)?(?:([.#])([\w-]+))?$", re.I)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
+_FOREIGN = frozenset(["svg", "math"])
+_ONLY_DEFINED = frozenset("desc metadata defs symbol clippath mask marker pattern filter lineargradient radialgradient annotation annotation-xml mphantom".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-NEVER_SHOWN = frozenset("head script style template title noscript iframe noembed noframes object audio video canvas svg math datalist meta link base param source track area map".split())
-BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup p pre section summary table tbody td tfoot th thead tr ul caption".split())
+NEVER_SHOWN = frozenset("head script style template title noscript iframe noembed noframes object audio video canvas datalist meta link base param source track area map".split())
+BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup p pre section summary table tbody td tfoot th thead tr ul caption text foreignobject".split())
 SET_OFF = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure fieldset hr menu dir".split())
 LISTS = frozenset("ul ol menu dir".split())
-ENDS_P = BLOCKS - frozenset("body html caption legend optgroup summary tbody td tfoot th thead tr dd dt li".split()) | frozenset(["summary"])
+ENDS_P = BLOCKS - frozenset("body html caption legend optgroup summary tbody td tfoot th thead tr dd dt li text foreignobject".split()) | frozenset(["summary"])
 #: A start tag ends an open element of these names, up to an element that bounds it.
 ENDED_BY = {
     "li": (frozenset(["li"]), LISTS),
@@ -83,6 +91,12 @@ def attributes_of(raw: str) -> dict[str, str]:
     return found
 
 
+def closes_itself(raw: str) -> bool:
+    """Whether the slash at the end of these attributes is not part of an unquoted value."""
+    last = raw.rsplit(None, 1)[-1]
+    return "=" not in last or last[-2] in "\"'"
+
+
 class TreeBuilder:
     """Elements from markup, with the tags that it implies."""
 
@@ -107,7 +121,9 @@ class TreeBuilder:
                     self.end(tag)
                 else:
                     self.start(tag, attributes_of(m[3]) if m[3] else {})
-                    if tag in RAW:
+                    if m[3].endswith("/") and any(self.counts.get(n) for n in _FOREIGN) and closes_itself(m[3]):
+                        self.pop()
+                    elif tag in RAW:
                         close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
                         stop = close.start() if close else len(page)
                         if stop > at:
@@ -160,6 +176,9 @@ class TreeBuilder:
             self.close_to(frozenset(["p"]), _SCOPES | frozenset(["li", "dd", "dt"]) | LISTS)
         if tag in ENDED_BY:
             self.close_to(*ENDED_BY[tag])
+        if any(self.counts.get(n) for n in _FOREIGN) and not self.counts.get("foreignobject"):
+            if tag in _ONLY_DEFINED or attributes.get("display") == "none" or attributes.get("visibility") in ("hidden", "collapse"):
+                attributes = {**attributes, "hidden": ""}
         inside = self.open[-1].tag
         if tag == "tr" and inside == "table":
             self.push("tbody", {})
@@ -190,17 +209,95 @@ class TreeBuilder:
                 return
 
 
+def _feature(text: str) -> bool | None:
+    """Whether a media feature holds on the screen; None if that is not known."""
+    name, _, value = (part.strip() for part in text.partition(":"))
+    if name in _FEATURES:
+        return value in ("", _FEATURES[name])
+    m = _BOUND.fullmatch(text.strip())
+    if not m:
+        return None
+    bare = m[4].removeprefix("min-").removeprefix("max-")
+    if bare not in SCREEN:
+        return None
+    have, checks = SCREEN[bare], []
+    try:
+        if m[1]:
+            checks.append((float(m[1]) * (16 if m[2] in ("em", "rem") else 1), m[3], have))
+        if m[6]:
+            sign = {"min-": ">=", "max-": "<="}.get(m[4][:4], "=") if m[5] == ":" else m[5]
+            checks.append((have, sign, float(m[6]) * (16 if m[7] in ("em", "rem") else 1)))
+    except ValueError:
+        return None
+    return all({"<": x < y, "<=": x <= y, ">": x > y, ">=": x >= y, "=": x == y}[sign] for x, sign, y in checks)
+
+
+def on_screen(media: str) -> bool:
+    """Whether a media query list surely holds on a wide screen."""
+    for query in media.lower().split(","):
+        m = re.fullmatch(r"\s*(not\b|only\b)?\s*([a-z]+)?\s*((?:(?:\band\b|\bor\b)?\s*\([^()]*\)\s*)*)", query)
+        if m is None:
+            continue
+        kind, found = m[2] in (None, "all", "screen"), [_feature(x) for x in re.findall(r"\(([^()]*)\)", m[3])]
+        either = bool(re.search(r"\bor\b", re.sub(r"\([^()]*\)", "", m[3])))
+        known = (any(x is True for x in found), not any(x is not False for x in found)) if either else (all(x is True for x in found), any(x is False for x in found))
+        holds, fails = kind and known[0], not kind or known[1]
+        if fails if m[1] == "not" else holds:
+            return True
+    return False
+
+
+def holds(prelude: str) -> bool:
+    """Whether the rules inside an at-rule hold on a wide screen."""
+    name, _, rest = re.sub(r"[\s(]", lambda m: " " + m[0].strip(), prelude, count=1).partition(" ")
+    if name.lower() == "@media":
+        return not rest.strip() or on_screen(rest)
+    return name.lower() == "@layer" or name.lower() == "@supports" and not re.search(r"\bnot\b", rest)
+
+
+def rules_of(css: str) -> Iterator[tuple[str, str]]:
+    """(selectors, declarations) that hold on a wide screen."""
+    css = re.sub(r"/\*.*?(?:\*/|\Z)", "", css, flags=re.S)
+    frames: list[tuple[str, bool, int, list[str]]] = []  # selectors, whether they hold, style rules around, declarations
+    last = 0
+    for m in [*_CSS.finditer(css), None]:
+        sign, at = (m[1], m.start()) if m else ("}", len(css))
+        if not sign:
+            continue
+        text, last = css[last:at], at + 1
+        if sign == "{":
+            outer = frames[-1] if frames else ("", True, 0, [])
+            if text.lstrip().startswith("@"):
+                frames.append((outer[0], outer[1] and holds(text.strip()), outer[2], []))
+            else:
+                frames.append((text, outer[1], outer[2] + 1, []))
+        elif frames:
+            frames[-1][3].append(text)
+        if sign == "}":
+            # The end of the styles closes all that is open.
+            for _ in range(min(len(frames), 1 if m else len(frames))):
+                selectors, applies, depth, declarations = frames.pop()
+                if applies and depth == 1:
+                    yield selectors, ";".join(declarations)
+
+
 def hidden_selectors(page: str) -> set[tuple[str, str, str]]:
-    """The simple selectors (tag, . or #, name) that the page's styles hide."""
-    found: set[tuple[str, str, str]] = set()
-    for block in re.findall(r"<style\b[^>]*>(.*?)(?:</style|\Z)", page, re.S | re.I):
-        for selectors, body in _RULE.findall(re.sub(r"/\*.*?\*/", "", block, flags=re.S)):
-            if _HIDING.search(body):
-                for selector in selectors.split(","):
-                    m = _SELECTOR.match(selector.strip())
-                    if m and (m[1] or m[3]):
-                        found.add(((m[1] or "").lower(), m[2] or "", m[3] or ""))
-    return found
+    """The simple selectors (tag, . or #, name) that the page's styles hide on a wide screen."""
+    hiding: dict[tuple[str, str, str, str], tuple[bool, bool]] = {}  # by property: hidden, important
+    for raw, block in re.findall(r"<style\b([^>]*)>(.*?)(?:</style|\Z)", page, re.S | re.I):
+        media = attributes_of(raw).get("media", "").strip()
+        if media and not on_screen(media):
+            continue
+        for selectors, body in rules_of(block):
+            said = [(kind.lower(), value.lower() in ("none", "hidden", "collapse"), bool(weight)) for kind, value, weight in _DISPLAY.findall(body)]
+            for selector in selectors.split(",") if said else ():
+                m = _SELECTOR.match(selector.strip())
+                if m and (m[1] or m[3]):
+                    for kind, hides, important in said:
+                        key = ((m[1] or "").lower(), m[2] or "", m[3] or "", kind)
+                        if important or not hiding.get(key, (False, False))[1]:
+                            hiding[key] = hides, important
+    return {key[:3] for key, (hides, _) in hiding.items() if hides}
 
 
 class Renderer:

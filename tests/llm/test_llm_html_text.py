@@ -38,6 +38,27 @@ def test_layout(page):
     assert text_of(page) == CASES[page]
 
 
+SCREEN = {
+    "<style>@media print {.nav, p {display:none}}</style><p>yes": "yes",
+    "<style>@media (max-width:600px) {.side {display:none}} .ad{display:none}</style><p class=side>yes<p class=ad>no": "yes",
+    "<style>@media screen and (min-width: 60em) {.a{display:none}} @media (width <= 700px), print {.b{display:none}}</style><p class=a>no<p class=b>yes": "yes",
+    "<style>@media not print {@media (400px <= width <= 9000px) {.a{display:none}}} @media not screen{.b{display:none}}</style><p class=a>no<p class=b>yes": "yes",
+    "<style>@supports (display:grid){.a{display:none}} @keyframes p{p{visibility:hidden}}</style><p class=a>no<p>yes": "yes",
+    "<style>.a{display:none} @media (min-width:800px){.a{display:block}}</style><p class=a>yes": "yes",
+    "<style>.a{color:red; @media print{display:none}} .b{content:'}'; display:none} .c{.d{display:none}</style><p class=a>yes<p class=b>no<p class=d>yes": "yes\n\nyes",
+    "<style media=print>p{display:none}</style><p>yes": "yes",
+    "<style>@media (some-day: 1) {p{display:none}}</style><p>yes": "yes",
+    "<p>a <svg><title/><desc>no</desc><defs><text>no</text></defs><path d='M 0'/><text x=1>b</text><text>c</text></svg> d": "a\nb\nc\nd",
+    "x <math><semantics><mrow><mi>y</mi><mo>=</mo><mn>2</mn></mrow><annotation>no</annotation></semantics></math> z": "x y=2 z",
+    "<desc>yes</desc>": "yes",
+}
+
+
+@pytest.mark.parametrize("page", list(SCREEN))
+def test_what_a_wide_screen_shows(page):
+    assert text_of(page) == SCREEN[page]
+
+
 def test_deep_and_long_pages():
     assert text_of("<div>" * 20_000 + "deep") == "deep"
     assert text_of("<table><tr><td>" * 60 + "x") == "x"
