@@ -59,6 +59,21 @@ def test_what_a_wide_screen_shows(page):
     assert text_of(page) == SCREEN[page]
 
 
+QUOTES = {
+    "<p>a</p><a title=don't>first</a> rest of page <p>end</p>": "a\n\nfirst rest of page\n\nend",
+    "<a href=\"x\"\">one</a> two <b class='y''>three</b> \"four\"": "one two three \"four\"",
+    "<p \"hidden\">yes</p \"><p title = 'a>b' hidden>no</p><p title=>yes</p>": "yes\n\nyes",
+    "<p a'b=1 it's>yes<img alt=5\"><i style=\"display:none\">no</i> too": "yes too",
+    "a<br/>b<p class=x/y/>c<p =x hidden>no": "a\nb\n\nc",
+    "a<i title=\"runs to the end>": "a",
+}
+
+
+@pytest.mark.parametrize("page", list(QUOTES))
+def test_quotes_open_only_values(page):
+    assert text_of(page) == QUOTES[page]
+
+
 def test_deep_and_long_pages():
     assert text_of("<div>" * 20_000 + "deep") == "deep"
     assert text_of("<table><tr><td>" * 60 + "x") == "x"
