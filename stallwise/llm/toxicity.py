@@ -5,8 +5,9 @@ contiguous or not, within `SPAN` characters; each occurrence counts
 `DECAY ** characters spanned`. A character that is inserted into an insult, or a
 dot between its letters, therefore costs some weight but does not hide it, and
 an ending that was never seen changes little. Words are marked at both ends;
-runs of single characters (`b a d`) count as one word as well; words longer than
-`LONGEST` are compared in overlapping parts.
+runs of single characters (`b a d`), parted by any white space, count as one word
+as well, and so do short neighbours (`id iot`); words longer than `LONGEST` are
+compared in overlapping parts.
 
 Labels belong to documents, so the machine learns which words make a document
 toxic: all words of clean documents are negative, and each toxic document has
@@ -46,13 +47,15 @@ from stallwise.llm import common
 SAMPLE = 2_000
 MOST_BYTES = 65_536
 SPAN, DECAY, LONGEST = 7, 0.7, 24
+#: Two neighbouring words of up to so many characters, and three of up to half, are judged joined as well.
+SHORT = 6
 LANDMARKS, ROUNDS, MINED = 256, 4, 1_000
 FLOOR, LEVELS = -3.0, (-1.5, -1.0, -0.5, 0.0, 0.5)
 
 _CODES = 64
 _EDGE = 27
 _STRIP = ".,;:!?\"'()[]{}<>|*_-~«»"
-_SPACED = re.compile(r"(?<!\S)\S(?:\s\S){2,}(?!\S)")
+_SPACED = re.compile(r"(?<!\S)\S(?:\s++\S(?!\S)){2,}+")
 #: (offset of the second character, of the third)
 _SHAPES = [(j, k) for k in range(2, SPAN) for j in range(1, k)]
 
@@ -203,10 +206,15 @@ def evidence(values: np.ndarray) -> np.ndarray:
 
 
 def units_of(text: str) -> set[str]:
-    """The words that a text is judged by, lower-cased."""
+    """The words that a text is judged by, lower-cased, and the joined ones."""
     lowered = text.lower()
-    units = set(lowered.split())
+    words = lowered.split()
+    units = set(words)
     units.update("".join(m[0].split()) for m in _SPACED.finditer(lowered))
+    short = [len(word) <= SHORT for word in words]
+    units.update(a + b for a, b, x, y in zip(words, words[1:], short, short[1:]) if x and y)
+    short = [len(word) <= SHORT // 2 for word in words]
+    units.update(a + b + c for a, b, c, x, y, z in zip(words, words[1:], words[2:], short, short[1:], short[2:]) if x and y and z)
     return units
 
 

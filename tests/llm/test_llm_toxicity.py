@@ -54,6 +54,8 @@ def test_held_out_accuracy_and_inserted_characters():
     assert (scores[truth == 1] >= 0.5).mean() > 0.85 and (scores[truth == 0] < 0.5).mean() > 0.97
     clean, *bad = model.scores(["on the that of in", "on the idiot in", "on the id.iot in", "on i d i o t in", "on wor-thless in"], {})
     assert clean < 0.5 and all(s >= 0.5 for s in bad)
+    split = ["on i  d \n i o\tt in", "on id iot in", "on the idi ot in", "the mo\nron was", "that stu pid was", "on wor thless in", "on id i ot in"]
+    assert all(s >= 0.5 for s in model.scores(split, {}))
 
 
 def test_defined_cases(spark):
@@ -66,6 +68,11 @@ def test_defined_cases(spark):
     assert toxicity.scored(frame(spark, []), both).collect() == []
 
 
+def test_white_space_of_any_length_is_skipped():
+    assert "bad" in toxicity.units_of("x so b  a \n\td\nok") and {"idiot", "badly"} <= toxicity.units_of("id\n iot ba d ly")
+    assert "badbehaviour" not in toxicity.units_of("bad behaviour")
+
+
 def test_words_are_cut_and_joined():
     assert "bad" in toxicity.units_of("x so b a d\nok") and "bad" in toxicity.units_of("b a d")
     assert all(len(p) <= toxicity.LONGEST for p in toxicity._parts("y" * 500)) and toxicity._parts("...") == [""]
