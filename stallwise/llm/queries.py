@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stallwise.llm import bpe, common, decontamination, exact_dedup, html_text, ngram_join, pii, sql, suffix_dedup, token_counts, toxicity
+from stallwise.llm import bpe, common, decontamination, exact_dedup, html_text, ngram_join, pii, quality_rules, sql, suffix_dedup, token_counts, toxicity
 from stallwise.llm import url_filter
 from stallwise.llm.common import documents, ship
 from stallwise.sources import store
@@ -73,6 +73,10 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.visible_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(documents(spark, sf_dir))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -93,6 +97,7 @@ def queries() -> dict[str, Query]:
         "op8_url_filter": op8_url_filter,
         "op9_token_counts": op9_token_counts,
         "op10_html_text": op10_html_text,
+        "op12_quality_rules": op12_quality_rules,
     }
     return {name: _shipped(query) for name, query in named.items()}
 

@@ -1,5 +1,7 @@
 """DuckDB statements for the queries that SQL can express."""
 
+from stallwise.llm import quality_rules
+
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 EXACT_DEDUP = f"""
@@ -60,5 +62,61 @@ GROUP BY d.r, d.doc_id
 """
 
 
+_BLANK_WORDS = r"'[^\x20\x09-\x0D]+'"
+
+
+def crc32(text: str) -> str:
+    """The unsigned CRC-32 of an ASCII text, a bit at a time."""
+    bits = f"flatten(list_transform(range(1, length({text}) + 1), lambda i: list_transform(range(8), lambda b: (ascii(substr({text}, i, 1)) >> b) & 1)))"
+    start = f"list_concat([4294967295], list_transform({bits}, lambda b: CAST(b AS BIGINT)))"
+    step = "CASE WHEN ((c & 1) + b) = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    return f"xor(list_reduce({start}, lambda c, b: {step}), 4294967295)"
+
+
+def _rule(rule: quality_rules.Rule) -> str:
+    parts = [f"1000 * {rule.count} >= {rule.least} * {rule.of}"] if rule.least is not None else []
+    parts += [f"1000 * {rule.count} <= {rule.most} * {rule.of}"] if rule.most is not None else []
+    return f"(({' AND '.join(parts)}) OR {rule.of} < {rule.fewest})"
+
+
+_STOPS = ", ".join(f"'{w}'" for w in sorted({w for some in quality_rules.STOP_WORDS.values() for w in some.split()}))
+
+QUALITY_RULES = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+parts AS (
+  SELECT r, doc_id, t, regexp_extract_all(t, {_BLANK_WORDS}) AS w,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, {_BLANK_WORDS})) AS lines,
+    regexp_extract_all(translate(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '.,;:!?"''()', ''),
+      {_BLANK_WORDS}) AS plain
+  FROM d
+),
+windows AS (SELECT r, k, array_to_string(w[k:k + 4], ' ') AS win FROM parts, unnest(range(1, len(w) - 3)) AS u(k)),
+twice AS (SELECT r, k, count(*) OVER (PARTITION BY r, win) AS n FROM windows),
+repeated AS (SELECT r, count(DISTINCT k + j) AS n_repeat_words FROM twice, unnest(range(0, 5)) AS u(j) WHERE n > 1 GROUP BY r),
+m AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+    CAST(len(lines) AS BIGINT) AS n_lines,
+    CAST(len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z\\x{{80}}-\\x{{10FFFF}}]'))) AS BIGINT) AS n_letter_words,
+    CAST(len(list_filter(plain, lambda x: x IN ({_STOPS}))) AS BIGINT) AS n_stop_words,
+    CAST(len(list_filter(lines, lambda x: regexp_matches(x, '^[\\x20\\x09-\\x0D]*[-*•]'))) AS BIGINT) AS n_bullet_lines,
+    CAST(len(list_filter(lines, lambda x: regexp_matches(x, '(\\.\\.\\.|…)[\\x20\\x09-\\x0D]*\\z'))) AS BIGINT) AS n_ellipsis_lines
+  FROM parts LEFT JOIN repeated USING (r)
+),
+judged AS (
+  SELECT *, n_words < {quality_rules.LEAST_WORDS} OR 100 * n_repeat_words > {quality_rules.MOST_REPEATED_PERCENT} * n_words AS base_failed FROM m
+)
+SELECT *, NOT base_failed AND {" AND ".join(map(_rule, quality_rules.RULES))} AS kept,
+  concat_ws(',', {", ".join(f"CASE WHEN NOT {_rule(r)} THEN '{r.name}' END" for r in quality_rules.RULES)}) AS failed_rules
+FROM judged
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op1_exact_dedup": EXACT_DEDUP, "op2_ngram_join": NGRAM_JOIN, "op4_decontamination": DECONTAMINATION}
+    return {
+        "op1_exact_dedup": EXACT_DEDUP,
+        "op2_ngram_join": NGRAM_JOIN,
+        "op4_decontamination": DECONTAMINATION,
+        "op12_quality_rules": QUALITY_RULES,
+    }
