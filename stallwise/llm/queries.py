@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stallwise.llm import bpe, common, decontamination, exact_dedup, html_text, ngram_join, pii, quality_rules, sql, suffix_dedup, token_counts, toxicity
+from stallwise.llm import bpe, common, decontamination, exact_dedup, html_text, ngram_join, periodic_runs, pii, quality_rules, sql, suffix_dedup, token_counts, toxicity
 from stallwise.llm import url_filter
 from stallwise.llm.common import documents, ship
 from stallwise.sources import store
@@ -73,6 +73,11 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.visible_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of all documents, a tenth of which is made periodic first."""
+    return periodic_runs.digests(periodic_runs.found(periodic_runs.planted(documents(spark, sf_dir))))
+
+
 def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(documents(spark, sf_dir))
 
@@ -97,6 +102,7 @@ def queries() -> dict[str, Query]:
         "op8_url_filter": op8_url_filter,
         "op9_token_counts": op9_token_counts,
         "op10_html_text": op10_html_text,
+        "op11_periodic_runs": op11_periodic_runs,
         "op12_quality_rules": op12_quality_rules,
     }
     return {name: _shipped(query) for name, query in named.items()}

@@ -113,10 +113,45 @@ FROM judged
 """
 
 
+PERIODIC_RUNS = f"""
+WITH original AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), {_BLANK_WORDS}) AS w,
+    {crc32("coalesce(CAST(doc_id AS VARCHAR), '')")} AS h
+  FROM documents
+),
+places AS (SELECT r, doc_id, w, len(w) AS n, h, h // 10 AS g, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM original),
+d AS (
+  SELECT r, doc_id, CASE WHEN doc_id IS NOT NULL AND h % 10 = 0 AND n > 0
+    THEN list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END])
+    ELSE w END AS w
+  FROM places
+),
+words AS (SELECT r, i - 1 AS i, w[i] AS word, len(w) AS n FROM d, unnest(range(1, len(w) + 1)) AS u(i)),
+pairs AS (SELECT x.r, x.i, y.i - x.i AS q FROM words x JOIN words y ON x.r = y.r AND x.word = y.word AND y.i > x.i AND 2 * (y.i - x.i) <= x.n),
+islands AS (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM pairs),
+stretches AS (SELECT r, q, min(i) AS s, count(*) + q AS n FROM islands GROUP BY r, q, island HAVING count(*) >= q AND count(*) + q >= 12),
+runs AS (SELECT r, s, n, min(q) AS q FROM stretches GROUP BY r, s, n),
+dropped AS (SELECT DISTINCT r, i FROM runs, unnest(range(s + q, s + n)) AS u(i)),
+kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY i) AS t FROM words ANTI JOIN dropped USING (r, i) GROUP BY r
+),
+listed AS (
+  SELECT r, count(*) AS n_runs, string_agg(s || ',' || n || ',' || q || chr(10), '' ORDER BY s, q) AS lines,
+    list(struct_pack(s := s, n := n, q := q) ORDER BY n DESC, s, q)[1] AS best
+  FROM runs GROUP BY r
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, CAST(best.s AS BIGINT) AS start, CAST(best.n AS BIGINT) AS length,
+  CAST(best.q AS BIGINT) AS period, CAST(1000 * best.n // best.q AS BIGINT) AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256
+FROM d LEFT JOIN listed USING (r) LEFT JOIN kept USING (r)
+"""
+
+
 def statements() -> dict[str, str]:
     return {
         "op1_exact_dedup": EXACT_DEDUP,
         "op2_ngram_join": NGRAM_JOIN,
         "op4_decontamination": DECONTAMINATION,
+        "op11_periodic_runs": PERIODIC_RUNS,
         "op12_quality_rules": QUALITY_RULES,
     }
