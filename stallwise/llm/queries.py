@@ -5,8 +5,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stallwise.llm import bpe, common, decontamination, exact_dedup, html_text, ngram_join, periodic_runs, pii, quality_rules, sql, suffix_dedup, token_counts, toxicity
-from stallwise.llm import url_filter
+from stallwise.llm import bpe, common, conversation_trie, decontamination, exact_dedup, html_text, ngram_join, periodic_runs, pii
+from stallwise.llm import quality_rules, sql, suffix_dedup, token_counts, toxicity, url_filter
 from stallwise.llm.common import documents, ship
 from stallwise.sources import store
 
@@ -82,6 +82,12 @@ def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(documents(spark, sf_dir))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, rebuilt so that some share their first turns."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return conversation_trie.trie(conversation_trie.rebuilt(conversation_trie.sequences(turns)))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -104,6 +110,7 @@ def queries() -> dict[str, Query]:
         "op10_html_text": op10_html_text,
         "op11_periodic_runs": op11_periodic_runs,
         "op12_quality_rules": op12_quality_rules,
+        "op13_conversation_trie": op13_conversation_trie,
     }
     return {name: _shipped(query) for name, query in named.items()}
 

@@ -147,6 +147,48 @@ FROM d LEFT JOIN listed USING (r) LEFT JOIN kept USING (r)
 """
 
 
+CONVERSATION_TRIE = f"""
+WITH turns AS (
+  SELECT conv_id, coalesce(text, '') AS text, sha256(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS id, turn
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+placed AS (
+  SELECT conv_id, id, len(regexp_extract_all(text, {_BLANK_WORDS})) AS words,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, substr(id, 1, 32)) AS pos
+  FROM turns
+),
+convs AS (SELECT DISTINCT conv_id, {crc32("CAST(conv_id AS VARCHAR)")} % 4 AS h FROM turns),
+rebuilt AS (
+  SELECT c.conv_id, p.pos, id, words FROM convs c JOIN placed p ON p.conv_id = c.conv_id - c.conv_id % 20 AND p.pos <= c.h
+  UNION ALL
+  SELECT c.conv_id, p.pos, id, words FROM convs c JOIN placed p ON p.conv_id = c.conv_id AND p.pos > c.h
+),
+prefixes AS (
+  SELECT conv_id, 0 AS depth, '' AS prefix, NULL AS parent, 0 AS words FROM convs
+  UNION ALL
+  SELECT conv_id, row_number() OVER w AS depth, string_agg(id, '') OVER w AS prefix,
+    coalesce(string_agg(id, '') OVER (PARTITION BY conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS parent, words
+  FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY pos)
+),
+nodes AS (
+  SELECT prefix, any_value(parent) AS parent, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words
+  FROM prefixes GROUP BY prefix
+),
+children AS (SELECT parent AS prefix, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+below AS (
+  SELECT p.prefix, count(*) FILTER (c.n_children IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.words) AS saved_tokens
+  FROM nodes n JOIN prefixes p ON p.conv_id = n.conv_id AND p.depth <= n.depth LEFT JOIN children c ON c.prefix = n.prefix
+  GROUP BY p.prefix
+),
+last AS (SELECT conv_id, max_by(prefix, depth) AS prefix FROM prefixes GROUP BY conv_id),
+ends AS (SELECT prefix, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids FROM last GROUP BY prefix)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children,
+  n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM nodes n JOIN below USING (prefix) LEFT JOIN nodes up ON up.prefix = n.parent LEFT JOIN children c ON c.prefix = n.prefix
+  LEFT JOIN ends e ON e.prefix = n.prefix
+"""
+
+
 def statements() -> dict[str, str]:
     return {
         "op1_exact_dedup": EXACT_DEDUP,
@@ -154,4 +196,5 @@ def statements() -> dict[str, str]:
         "op4_decontamination": DECONTAMINATION,
         "op11_periodic_runs": PERIODIC_RUNS,
         "op12_quality_rules": QUALITY_RULES,
+        "op13_conversation_trie": CONVERSATION_TRIE,
     }
