@@ -6,8 +6,10 @@ contiguous or not, within `SPAN` characters; each occurrence counts
 dot between its letters, therefore costs some weight but does not hide it, and
 an ending that was never seen changes little. Words are marked at both ends;
 runs of single characters (`b a d`), parted by any white space, count as one word
-as well, and so do short neighbours (`id iot`); words longer than `LONGEST` are
-compared in overlapping parts.
+as well; words longer than `LONGEST` are compared in overlapping parts. Short
+neighbours (`id iot`) are judged joined too, but count only if they come close to
+a decision (`JOINED`). Nearly all of them are far from it, which a bound shows
+without their lengths as vectors. The machine is trained on words alone.
 
 Labels belong to documents, so the machine learns which words make a document
 toxic: all words of clean documents are negative, and each toxic document has
@@ -28,13 +30,16 @@ reads everything.
 
 Defined cases: null texts count as empty; texts without words get the lowest
 score; without labels of both classes every score is that of the only class (0
-if there is none).
+if there is none); rows that repeat an id, or have none, get a score each (one
+without an id is never learned from); of several labels of an id the largest
+counts; an empty table gives no rows; extra columns are ignored.
 """
 
 import re
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +54,8 @@ MOST_BYTES = 65_536
 SPAN, DECAY, LONGEST = 7, 0.7, 24
 #: Two neighbouring words of up to so many characters, and three of up to half, are judged joined as well.
 SHORT = 6
+#: Joined neighbours below this decision count for nothing.
+JOINED = 0.0
 LANDMARKS, ROUNDS, MINED = 256, 4, 1_000
 FLOOR, LEVELS = -3.0, (-1.5, -1.0, -0.5, 0.0, 0.5)
 
@@ -77,6 +84,8 @@ _TABLE = _code_table()
 
 def _parts(word: str) -> list[str]:
     word = word.strip(_STRIP)
+    if len(word) <= LONGEST:
+        return [word]
     step = LONGEST // 2
     return [word[i : i + LONGEST] for i in range(0, max(1, len(word) - LONGEST + step), step)]
 
@@ -154,18 +163,36 @@ def kernel(words: Sequence[str], landmarks: Sequence[str]) -> np.ndarray:
     return out.astype(np.float64)
 
 
-def folded_values(words: Sequence[str], weights: np.ndarray) -> np.ndarray:
-    """The linear function of the words' features with these weights (weights[0] is 0)."""
-    out = np.zeros(len(words), np.float32)
+def folded_values(words: Sequence[str], weights: np.ndarray, least: float = -np.inf) -> np.ndarray:
+    """The linear function of the words' features with these weights (weights[0] is 0); -inf where it is below `least`.
+
+    If `least` is at least 0, most words are decided by a bound: features that
+    coincide only make a vector longer than its occurrences taken one by one.
+    """
+    out = np.full(len(words), -np.inf, np.float32)
     order = np.argsort(np.fromiter(map(len, words), np.int64, len(words)), kind="stable")
     for at in range(0, len(words), 4096):
         rows = order[at : at + 4096]
-        shapes = list(_grams(codes([words[i] for i in rows])))
+        matrix = codes([words[i] for i in rows])
+        shapes = list(_grams(matrix))
         total = np.zeros(len(rows), np.float32)
         for number, weight in shapes:
             total += np.float32(weight) * weights[number].sum(axis=1)
+        if least >= 0:
+            near = np.flatnonzero(total >= least * _least_lengths(matrix))
+            if not len(near):
+                continue
+            rows, total, shapes = rows[near], total[near], list(_grams(matrix[near]))
         out[rows] = total / _lengths(shapes)
-    return out
+    return np.where(out >= least, out, -np.inf)
+
+
+def _least_lengths(matrix: np.ndarray) -> np.ndarray:
+    """At most the lengths of the feature vectors of some words: 0 with characters inside that match nothing."""
+    valid = (matrix > 0).sum(axis=1)
+    ends = matrix.shape[1] - 1 - (matrix[:, ::-1] > 0).argmax(axis=1)
+    occurrences = sum(np.maximum(np.arange(matrix.shape[1] + 1) - k, 0) * DECAY ** (2 * k + 2) for _, k in _SHAPES)
+    return np.where(valid == ends + 1, np.sqrt(occurrences[valid]), 0).astype(np.float32)
 
 
 @dataclass(frozen=True)
@@ -185,37 +212,75 @@ class Model:
         starts = np.cumsum([0, *map(len, parts)])[:-1]
         return np.maximum.reduceat(np.maximum(folded_values(flat, self.weights) + self.bias, FLOOR), starts)
 
-    def scores(self, texts: Sequence[str], known: dict[str, float]) -> list[float]:
+    def joined(self, units: Sequence[str]) -> dict[str, float]:
+        """The decisions of those joined neighbours that come close to one."""
+        if not units:
+            return {}
+        values = folded_values([unit.strip(_STRIP) for unit in units], self.weights, JOINED - self.bias) + self.bias
+        return {units[i]: float(values[i]) for i in np.flatnonzero(values >= JOINED)}
+
+    def scores(self, texts: Sequence[str], known: "Known") -> list[float]:
         """Scores of the texts; `known` keeps the decisions of words from call to call."""
-        units = [units_of(text) for text in texts]
-        new = list(set().union(*units).difference(known)) if units else []
-        known.update(zip(new, self.values(new).tolist()))
         if not texts:
             return []
-        rows = np.array([evidence(np.fromiter(map(known.__getitem__, own), float, len(own))) for own in units])
-        return (1 / (1 + np.exp(-np.clip(rows @ self.document, -30, 30)))).tolist()
-
-
-def evidence(values: np.ndarray) -> np.ndarray:
+        lowered = [text.lower() for text in texts]
+        split = [text.split() for text in lowered]
+        words = list(map(words_of, lowered, split))
+        new = list(set().union(*words).difference(known.words))
+        known.words.update(zip(new, self.values(new).tolist()))
+        joined = list(map(joined_of, split))
+        new = list(set().union(*joined).difference(known.judged))
+        known.judged.update(new)
+        known.joined.update(self.joined(new))
+        found = []
+        for own, pairs in zip(words, joined):
+            values = np.fromiter(map(known.words.__getitem__, own), float, len(own))
+            close = [known.joined[u] for u in pairs if u in known.joined and u not in own]
+            found.append(evidence(values, np.array(close, float)))
+        known.trim()
+        return (1 / (1 + np.exp(-np.clip(np.array(found) @ self.document, -30, 30)))).tolist()
+
+
+class Known:
+    """What a task has judged: words, joined neighbours, and those of the latter that count. Bounded: the oldest half goes."""
+
+    def __init__(self, most: int = 250_000) -> None:
+        self.most = most
+        self.words: dict[str, float] = {}
+        self.judged: set[str] = set()
+        self.joined: dict[str, float] = {}
+
+    def trim(self) -> None:
+        if len(self.words) > self.most:
+            self.words = dict(islice(self.words.items(), self.most // 2, None))
+        if len(self.judged) > self.most:
+            self.judged, self.joined = set(), {}
+
+
+def evidence(words: np.ndarray, joined: np.ndarray) -> np.ndarray:
     """What the decisions on a document's words come to: the highest ones, and how many reach each level."""
+    values = np.concatenate([words, joined])
     top = np.full(5, FLOOR)
     highest = np.sort(values)[::-1][:5]
     top[: len(highest)] = highest
     reach = [np.log1p((values > level).sum()) for level in LEVELS]
-    return np.array([top[0], top[1], top[2], top[4], *reach, np.log1p(len(values)) / 5, 1.0])
+    return np.array([top[0], top[1], top[2], top[4], *reach, np.log1p(len(words)) / 5, 1.0])
+
+
+def words_of(lowered: str, split: Sequence[str]) -> set[str]:
+    """The words that a lower-cased text is judged by; single characters in a row are a word as well."""
+    words = set(split)
+    words.update("".join(m[0].split()) for m in _SPACED.finditer(lowered))
+    return words
 
 
-def units_of(text: str) -> set[str]:
-    """The words that a text is judged by, lower-cased, and the joined ones."""
-    lowered = text.lower()
-    words = lowered.split()
-    units = set(words)
-    units.update("".join(m[0].split()) for m in _SPACED.finditer(lowered))
+def joined_of(words: Sequence[str]) -> set[str]:
+    """Two short neighbours, or three very short ones, joined."""
     short = [len(word) <= SHORT for word in words]
-    units.update(a + b for a, b, x, y in zip(words, words[1:], short, short[1:]) if x and y)
+    joined = {a + b for a, b, x, y in zip(words, words[1:], short, short[1:]) if x and y}
     short = [len(word) <= SHORT // 2 for word in words]
-    units.update(a + b + c for a, b, c, x, y, z in zip(words, words[1:], words[2:], short, short[1:], short[2:]) if x and y and z)
-    return units
+    joined.update(a + b + c for a, b, c, x, y, z in zip(words, words[1:], words[2:], short, short[1:], short[2:]) if x and y and z)
+    return joined
 
 
 def _machine(features: np.ndarray, labels: np.ndarray, weight: np.ndarray, ridge: float = 1e-2) -> tuple[np.ndarray, float]:
@@ -248,15 +313,16 @@ def _spread(items: Sequence, n: int) -> list:
 def train(sample: Sequence[tuple[str, int]]) -> Model:
     """The machine from (text, label) rows."""
     none, constant = np.zeros(_CODES**3, np.float32), np.zeros(len(LEVELS) + 6)
-    bags = [({p for u in units_of(text) for p in _parts(u)} - {""}, label) for text, label in sample]
-    toxic, clean = [b for b, y in bags if y == 1], [b for b, y in bags if y == 0]
-    constant[-1] = -30 if not toxic else 30
-    if not toxic or not clean:
+    texts = [[text.lower() for text, label in sample if label == y] for y in (0, 1)]
+    constant[-1] = -30 if not texts[1] else 30
+    if not all(texts):
         return Model(none, 0.0, constant)
     # A third of the documents teaches what the words of a document come to.
-    many = min(len(clean), len(toxic)) >= 30
-    judging = [side[::3] for side in (clean, toxic)] if many else [clean, toxic]
-    learning = [[b for i, b in enumerate(side) if i % 3] for side in (clean, toxic)] if many else judging
+    many = min(map(len, texts)) >= 30
+    judging = [side[::3] for side in texts] if many else texts
+    lessons = [[t for i, t in enumerate(side) if i % 3] for side in texts] if many else judging
+    same: dict[str, str] = {}
+    learning = [[{same.setdefault(p, p) for u in words_of(text, text.split()) for p in _parts(u)} - {""} for text in side] for side in lessons]
     # Copies and near copies of a document mostly share the word with the least hash, and count once.
     kinds: dict[str, set[int]] = {}
     for bag in learning[1]:
@@ -300,7 +366,15 @@ def train(sample: Sequence[tuple[str, int]]) -> Model:
         weight = np.sqrt([picked[w] for w in chosen])
         worst = np.argsort(-model.values(negative), kind="stable")[:MINED]
         hard = list(dict.fromkeys([*(negative[i] for i in worst), *_spread(negative, 5000)]))
-    rows = np.array([evidence(model.values(sorted(b))) for side in judging for b in side])
+    known, rows = Known(), []
+    for text in (text for side in judging for text in side):
+        split = text.split()
+        words, joined = words_of(text, split), joined_of(split)
+        new = list(words.difference(known.words))
+        known.words.update(zip(new, model.values(new).tolist()))
+        close = model.joined(sorted(joined - words))
+        rows.append(evidence(np.fromiter(map(known.words.__getitem__, words), float, len(words)), np.array(list(close.values()), float)))
+    rows = np.array(rows)
     labels = np.repeat([0.0, 1.0], [len(side) for side in judging])
     return Model(model.weights, model.bias, _logistic(rows, labels))
 
@@ -342,12 +416,10 @@ def trained(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
 
 
 def _scores(model: Broadcast, batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[float]]]:
-    known: dict[str, float] = {}
+    known = Known()
     for whole in batches:
         for at in range(0, whole.num_rows, 200):
             batch = whole.slice(at, 200)
-            if len(known) > 250_000:
-                known.clear()
             yield batch, model.value.scores(batch.column("text").to_pylist(), known)
 
 
