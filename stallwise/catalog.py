@@ -77,6 +77,16 @@ def _csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listings_io.read_clean_csv(spark, path)
 
 
+def _raw_csv_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw rows as CSV, whose offers hold line breaks, read in splits and cleaned."""
+    raw = raw_listings(spark, sf_dir)
+    path = store.scratch_path(spark, "raw-csv")
+    if path is None:
+        return C.clean_listings(raw)
+    listings_io.write_raw_csv(raw, path)
+    return C.clean_listings(listings_io.read_raw_csv(spark, path))
+
+
 def _warehouse_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The key column is 1..N without gaps or repeats."""
     ids = store.warehouse_with_ids(spark, sf_dir).select("id")
@@ -104,6 +114,7 @@ def queries() -> dict[str, Query]:
         # Cleaning and checks
         "clean_listings": _on_clean(lambda clean: clean),
         "clean_csv_round_trip": _csv_round_trip,
+        "raw_csv_clean": _raw_csv_clean,
         "raw_null_profile": _on_raw(null_profile, 2),
         "clean_null_profile": _on_clean(null_profile, 1),
         "row_counts": _row_counts,

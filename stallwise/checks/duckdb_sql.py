@@ -180,6 +180,7 @@ def _quality() -> dict[str, str]:
     return {
         "clean_listings": _with("SELECT * FROM clean"),
         "clean_csv_round_trip": _with("SELECT * FROM clean"),
+        "raw_csv_clean": _with("SELECT * FROM clean"),
         "raw_null_profile": _with(raw_profile),
         "clean_null_profile": _with(clean_profile),
         "row_counts": _with("SELECT 'raw' AS stage, count(*) AS row_count, 10 AS column_count FROM raw "

@@ -7,17 +7,20 @@ from pyspark.sql import types as T
 from stallwise import schema
 from stallwise.functions.text import missing_to_null
 from stallwise.operators import contract
+from stallwise.sources import split_csv
 
-# Quoted fields may hold line breaks and doubled quotes. A file read this way is
-# one task, so large inputs should be many files, or Parquet.
+# Quoted fields may hold line breaks and doubled quotes.
 _CSV = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
 
 
-def _read_csv(spark: SparkSession, path, layout: T.StructType) -> DataFrame:
+def _read_csv(spark: SparkSession, path, layout: T.StructType, split: bool) -> DataFrame:
     # Every column is read as text so that a missing token never counts as a
     # malformed number.
-    text = T.StructType([T.StructField(name, T.StringType()) for name in layout.names])
-    rows = spark.read.options(**_CSV).schema(text).csv(path)
+    if split:
+        rows = split_csv.read(spark, path, layout)
+    else:
+        text = T.StructType([T.StructField(name, T.StringType()) for name in layout.names])
+        rows = spark.read.options(**_CSV).schema(text).csv(path)
     return rows.select(
         *[
             missing_to_null(F.col(f"`{field.name}`")).cast(field.dataType).alias(field.name)
@@ -26,14 +29,27 @@ def _read_csv(spark: SparkSession, path, layout: T.StructType) -> DataFrame:
     )
 
 
-def read_raw_csv(spark: SparkSession, path) -> DataFrame:
-    """The ten raw columns, as text but for the number of offers."""
-    return _read_csv(spark, path, schema.RAW)
+def read_raw_csv(spark: SparkSession, path, split: bool = True) -> DataFrame:
+    """The ten raw columns, as text but for the number of offers.
+
+    Files are read by many tasks each (see split_csv), and twice. With `split`
+    off, one task reads a file, once, and quotes may also stand inside values
+    without quotes around them.
+    """
+    return _read_csv(spark, path, schema.RAW, split)
+
+
+def read_clean_csv(spark: SparkSession, path, split: bool = False) -> DataFrame:
+    """The 13 clean columns of files written by write_clean_csv, which are small enough for a task each."""
+    return _read_csv(spark, path, schema.CLEAN, split)
 
 
-def read_clean_csv(spark: SparkSession, path) -> DataFrame:
-    """The 13 clean columns of files written by write_clean_csv."""
-    return _read_csv(spark, path, schema.CLEAN)
+def write_raw_csv(raw: DataFrame, path, mode: str = "errorifexists") -> None:
+    """Raw rows as CSV with header, as the raw file has them."""
+    raw.write.mode(mode).csv(
+        path, header=True, quote='"', escape='"', nullValue="", encoding="UTF-8",
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    )
 
 
 def read_clean(spark: SparkSession, path) -> DataFrame:
