@@ -174,19 +174,34 @@ def folded_values(words: Sequence[str], weights: np.ndarray, least: float = -np.
     for at in range(0, len(words), 4096):
         rows = order[at : at + 4096]
         matrix = codes([words[i] for i in rows])
-        shapes = list(_grams(matrix))
-        total = np.zeros(len(rows), np.float32)
-        for number, weight in shapes:
-            total += np.float32(weight) * weights[number].sum(axis=1)
+        total = _totals(matrix, weights)
         if least >= 0:
             near = np.flatnonzero(total >= least * _least_lengths(matrix))
             if not len(near):
                 continue
-            rows, total, shapes = rows[near], total[near], list(_grams(matrix[near]))
-        out[rows] = total / _lengths(shapes)
+            rows, total, matrix = rows[near], total[near], matrix[near]
+        out[rows] = total / _lengths(list(_grams(matrix)))
     return np.where(out >= least, out, -np.inf)
 
 
+def _totals(matrix: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The weights of all occurrences of features in some words, added up.
+
+    Numbers with a character that matches nothing are no feature's and weigh 0.
+    """
+    width = matrix.shape[1] - SPAN
+    wide = matrix.astype(np.intp)
+    seconds = {j: wide[:, :width] * (_CODES * _CODES) + wide[:, j : j + width] * _CODES for j in range(1, SPAN - 1)}
+    total = np.zeros((len(matrix), width), np.float32)
+    for k in range(2, SPAN):
+        third = wide[:, k : k + width]
+        own = weights.take(seconds[1] + third)
+        for j in range(2, k):
+            own += weights.take(seconds[j] + third)
+        total += np.float32(DECAY ** (k + 1)) * own
+    return total.sum(axis=1)
+
+
 def _least_lengths(matrix: np.ndarray) -> np.ndarray:
     """At most the lengths of the feature vectors of some words: 0 with characters inside that match nothing."""
     valid = (matrix > 0).sum(axis=1)
@@ -210,7 +225,8 @@ class Model:
         if not flat:
             return np.zeros(0, np.float32)
         starts = np.cumsum([0, *map(len, parts)])[:-1]
-        return np.maximum.reduceat(np.maximum(folded_values(flat, self.weights) + self.bias, FLOOR), starts)
+        values = folded_values(flat, self.weights, FLOOR - self.bias) + self.bias
+        return np.maximum.reduceat(np.maximum(values, FLOOR), starts)
 
     def joined(self, units: Sequence[str]) -> dict[str, float]:
         """The decisions of those joined neighbours that come close to one."""
@@ -276,10 +292,11 @@ def words_of(lowered: str, split: Sequence[str]) -> set[str]:
 
 def joined_of(words: Sequence[str]) -> set[str]:
     """Two short neighbours, or three very short ones, joined."""
-    short = [len(word) <= SHORT for word in words]
-    joined = {a + b for a, b, x, y in zip(words, words[1:], short, short[1:]) if x and y}
-    short = [len(word) <= SHORT // 2 for word in words]
-    joined.update(a + b + c for a, b, c, x, y, z in zip(words, words[1:], words[2:], short, short[1:], short[2:]) if x and y and z)
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    short = lengths <= SHORT
+    joined = {words[i] + words[i + 1] for i in np.flatnonzero(short[1:] & short[:-1]).tolist()}
+    short = lengths <= SHORT // 2
+    joined.update(words[i] + words[i + 1] + words[i + 2] for i in np.flatnonzero(short[2:] & short[1:-1] & short[:-2]).tolist())
     return joined
 
 
