@@ -19,7 +19,7 @@ from stallwise.plans import dashboards as D
 from stallwise.plans import exploration_reports as E
 from stallwise.plans import quality_reports as Q
 from stallwise.plans import views
-from stallwise.sources import listings_io, store
+from stallwise.sources import listings_io, loads, store
 from stallwise.sources.binding import raw_listings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,8 +39,16 @@ def _doubles(frame: DataFrame) -> DataFrame:
     return frame.withColumns({name: F.col(name).cast("double") for name in decimals}) if decimals else frame
 
 
-def _on_raw(report, *args) -> Query:
-    return lambda spark, sf_dir: _doubles(report(raw_listings(spark, sf_dir), *args))
+def _on_figures(stored_report, raw_report) -> Query:
+    """The report on what the stored table notes, or on the raw rows where nothing is stored."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        stored = store.stored_listings(spark, sf_dir)
+        if stored is None:
+            return _doubles(raw_report(raw_listings(spark, sf_dir)))
+        return _doubles(stored_report(store.read_figures(spark, stored)))
+
+    return query
 
 
 def _on_clean(report, *args) -> Query:
@@ -63,10 +71,6 @@ def _measures(names: list[str], **kwargs) -> Query:
     return _on_enriched(lambda enriched: measures(enriched, names, **kwargs))
 
 
-def _row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.row_counts(raw_listings(spark, sf_dir), store.clean_table(spark, sf_dir))
-
-
 def _csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clean table written as CSV and read back."""
     clean = store.clean_table(spark, sf_dir)
@@ -89,8 +93,16 @@ def _raw_csv_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _warehouse_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The key column is 1..N without gaps or repeats."""
-    ids = store.warehouse_with_ids(spark, sf_dir).select("id")
-    return ids.agg(
+    return _id_range(store.warehouse_with_ids(spark, sf_dir))
+
+
+def _load_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """So it is after several loads."""
+    return _id_range(_loaded_in_batches(spark, sf_dir).rows_with_ids(3))
+
+
+def _id_range(rows: DataFrame) -> DataFrame:
+    return rows.agg(
         F.count("*").alias("listings"),
         F.countDistinct("id").alias("distinct_ids"),
         F.min("id").alias("first_id"),
@@ -98,6 +110,31 @@ def _warehouse_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_loaded: dict[tuple[str, str], loads.LoadedListings] = {}
+
+
+def _loaded_in_batches(spark: SparkSession, sf_dir: str) -> loads.LoadedListings:
+    """Three batches that have rows in common, one of them sent twice (versions 1 to 3), then a replacement (version 4)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _loaded:
+        path = store.scratch_path(spark, "loaded-listings")
+        if path is None:
+            raise RuntimeError("loads need a folder that all executors share: set spark.checkpoint.dir")
+        raw, table = raw_listings(spark, sf_dir), loads.LoadedListings(spark, path)
+        offers = F.col("Number of Offers")
+        table.append("few offers", raw.filter(offers <= 1))
+        table.append("unknown or few offers", raw.filter(offers.isNull() | (offers <= 2)))
+        table.append("few offers", raw.filter(offers <= 1))
+        table.append("all", raw)
+        table.replace("not veg", raw.filter(F.col("Pure Veg") == "No"))
+        _loaded[key] = table
+    return _loaded[key]
+
+
+def _loaded_rows(version: int) -> Query:
+    return lambda spark, sf_dir: store.clean_of(_loaded_in_batches(spark, sf_dir).rows(version))
+
+
 def _lift(report, segment: str, first: str, second: str, metric: str) -> Query:
     return _on_warehouse(lambda listings: lift(report(listings), segment, first, second, metric))
 
@@ -115,14 +152,17 @@ def queries() -> dict[str, Query]:
         "clean_listings": _on_clean(lambda clean: clean),
         "clean_csv_round_trip": _csv_round_trip,
         "raw_csv_clean": _raw_csv_clean,
-        "raw_null_profile": _on_raw(null_profile, 2),
+        "raw_null_profile": _on_figures(Q.stored_null_profile, lambda raw: null_profile(raw, 2)),
         "clean_null_profile": _on_clean(null_profile, 1),
-        "row_counts": _row_counts,
-        "duplicate_count": _on_raw(C.duplicate_count),
-        "price_corrections": _on_raw(C.price_corrections),
-        "imputed_counts": _on_raw(C.imputed_counts),
+        "row_counts": _on_figures(Q.stored_row_counts, lambda raw: Q.row_counts(raw, C.clean_listings(raw))),
+        "duplicate_count": _on_figures(Q.stored_duplicate_count, C.duplicate_count),
+        "price_corrections": _on_figures(Q.stored_price_corrections, C.price_corrections),
+        "imputed_counts": _on_figures(Q.stored_imputed_counts, C.imputed_counts),
         "contract_violations": _on_clean(contract.violations),
         "warehouse_ids": _warehouse_ids,
+        "load_in_batches": _loaded_rows(3),
+        "load_ids": _load_ids,
+        "load_replaced": _loaded_rows(4),
         "warehouse_kpis": _on_warehouse(Q.warehouse_kpis),
         "executive_kpis": _on_warehouse(Q.executive_kpis),
         "describe_cost": _on_clean(Q.describe_cost),

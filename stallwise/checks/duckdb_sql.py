@@ -193,6 +193,10 @@ def _quality() -> dict[str, str]:
         "contract_violations": _with(broken),
         "warehouse_ids": _with("SELECT count(*) AS listings, count(*) AS distinct_ids, CAST(1 AS BIGINT) AS first_id, "
                                "count(*) AS last_id FROM clean"),
+        "load_in_batches": _with("SELECT * FROM clean"),
+        "load_ids": _with("SELECT count(*) AS listings, count(*) AS distinct_ids, CAST(1 AS BIGINT) AS first_id, "
+                          "count(*) AS last_id FROM clean"),
+        "load_replaced": _with("SELECT * FROM clean WHERE NOT is_pure_veg"),
         "warehouse_kpis": _with(f"SELECT {_up('sum(c)', 'count(c)', 1)} AS avg_cost, {R} AS avg_rating, "
                                 f"count(*) FILTER (WHERE veg) AS veg_count, count(*) AS total, "
                                 f"{_share('veg')} AS veg_pct FROM w"),

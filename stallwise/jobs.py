@@ -13,7 +13,7 @@ from stallwise.sources import listings_io, store
 
 def clean_file(spark: SparkSession, raw_csv: str, target: str, sort_by: Sequence[str] = ()) -> store.Stored:
     """Raw CSV files to a stored clean table at `target`."""
-    clean = C.clean_listings(listings_io.read_raw_csv(spark, raw_csv))
+    clean = C.clean_with_figures(listings_io.read_raw_csv(spark, raw_csv))
     return store.write_store(clean, target, sort_by)
 
 
@@ -45,6 +45,18 @@ def cleaning_summary(clean: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def cleaning_figures(spark: SparkSession, stored: store.Stored) -> dict[str, DataFrame]:
+    """What the cleaning job did, from the stored table alone."""
+    figures = store.read_figures(spark, stored)
+    return {
+        "row_counts": Q.stored_row_counts(figures),
+        "duplicates": Q.stored_duplicate_count(figures),
+        "raw_nulls": Q.stored_null_profile(figures),
+        "price_corrections": Q.stored_price_corrections(figures),
+        "imputed": Q.stored_imputed_counts(figures),
+    }
+
+
 def load_summary(listings: DataFrame) -> dict[str, DataFrame]:
     """What to look at after loading the warehouse table."""
     return {

@@ -3,6 +3,8 @@
 One wide shuffle (exact duplicates), everything else is narrow.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,8 +81,8 @@ def _worked_once(unique_raw: DataFrame) -> DataFrame:
     )
 
 
-def clean_rows(unique_raw: DataFrame) -> DataFrame:
-    """The narrow part of the job, on rows without exact duplicates."""
+def clean_rows(unique_raw: DataFrame, *others: str | Column) -> DataFrame:
+    """The narrow part of the job, on rows without exact duplicates; `others` are columns to carry along."""
     cuisine = F.col("cuisine")
     known = cuisine != V.UNKNOWN_CUISINE
     rating = X.parse_number(F.col("rating_text"))
@@ -102,6 +104,7 @@ def clean_rows(unique_raw: DataFrame) -> DataFrame:
         F.coalesce(veg, F.lit(False)).alias("is_pure_veg"),
         offers.cast("int").alias("offer_count"),
         F.coalesce("offer_lines", F.lit(V.NO_OFFER)).alias("offer_name"),
+        *others,
     )
 
 
@@ -114,6 +117,27 @@ def clean_listings(raw: DataFrame) -> DataFrame:
     return clean_rows(drop_duplicates(raw)).select(*schema.CLEAN.names)
 
 
+def clean_with_figures(raw: DataFrame) -> DataFrame:
+    """The clean columns and those of schema.FIGURES, by the same single shuffle.
+
+    The reports on duplicates, empty cells, corrections and imputations are sums
+    over these columns, so they need not see the raw file again.
+    """
+    copies = raw.groupBy(*[F.col(f"`{n}`") for n in raw.columns]).agg(F.count("*").alias("copies"))
+    bits = [F.col(f"`{n}`").isNull().cast("int") * (1 << i) for i, n in enumerate(raw.columns)]
+    marked = copies.withColumns(
+        {
+            "raw_nulls": reduce(Column.__add__, bits),
+            "no_area": X.strip_or_null(F.col("Area")).isNull(),
+            "no_cuisine": X.strip_or_null(F.col("Cuisine")).isNull(),
+        }
+    )
+    corrected = F.when(F.col("price") > V.PRICE_LIMIT, F.col("price")).alias("price_before")
+    return clean_rows(marked, "copies", "raw_nulls", "no_area", "no_cuisine", corrected).select(
+        *schema.CLEAN.names, *schema.FIGURES.names
+    )
+
+
 def price_corrections(raw: DataFrame) -> DataFrame:
     """Rows whose price was a typing error: name, location, price before and after.
 

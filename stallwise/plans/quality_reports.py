@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stallwise import schema
 from stallwise.functions.numeric import (
     exact_mean,
     exact_share,
@@ -22,6 +23,30 @@ def row_counts(raw: DataFrame, clean: DataFrame) -> DataFrame:
     return quality.shape(raw, "raw").unionAll(quality.shape(clean, "clean"))
 
 
+def stored_row_counts(figures: DataFrame) -> DataFrame:
+    """The same from a store's rows: each knows how many raw rows it stands for."""
+    raw = figures.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("row_count"))
+    raw = raw.select(F.lit("raw").alias("stage"), "row_count", F.lit(len(schema.RAW.names)).alias("column_count"))
+    return raw.unionAll(quality.shape(figures.select(*schema.CLEAN.names), "clean"))
+
+
+def stored_duplicate_count(figures: DataFrame) -> DataFrame:
+    return figures.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicate_rows"))
+
+
+def stored_price_corrections(figures: DataFrame) -> DataFrame:
+    after = F.col("cost_for_two").cast("long").alias("price_after")
+    return figures.filter("price_before IS NOT NULL").select("restaurant_name", "location", "price_before", after)
+
+
+def stored_imputed_counts(figures: DataFrame) -> DataFrame:
+    return figures.agg(F.count_if("no_area").alias("missing_area"), F.count_if("no_cuisine").alias("missing_cuisine"))
+
+
+def stored_null_profile(figures: DataFrame) -> DataFrame:
+    return quality.raw_null_profile(figures, schema.RAW, 2)
+
+
 def status_distribution(clean: DataFrame) -> DataFrame:
     return G.value_counts(clean, "rating_status").orderBy(F.desc("n"), F.asc("rating_status"))
 

@@ -37,5 +37,18 @@ STORE = T.StructType(
     + [T.StructField("warehouse_rating", WAREHOUSE_RATING), T.StructField("load_position", T.LongType())]
 )
 
+# What the cleaning job learns about a row on the way, kept beside it: how often
+# it was in the raw file, which raw columns were empty (a bit each, in their
+# order), what had to be filled in, and a price that was a typing error.
+FIGURES = T.StructType(
+    [
+        T.StructField("copies", T.LongType()),
+        T.StructField("raw_nulls", T.IntegerType()),
+        T.StructField("no_area", T.BooleanType()),
+        T.StructField("no_cuisine", T.BooleanType()),
+        T.StructField("price_before", T.LongType()),
+    ]
+)
+
 # Columns that may be empty; every other clean column must hold a value.
 NULLABLE = ("rating", "rating_count")

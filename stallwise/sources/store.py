@@ -15,10 +15,11 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stallwise import schema
 from stallwise.operators import contract
-from stallwise.operators.clean import clean_listings, to_warehouse
+from stallwise.operators.clean import clean_listings, clean_with_figures, to_warehouse
 from stallwise.sources.binding import raw_listings
 
 # load_position numbers rows within a write task: task number in the high bits.
@@ -59,7 +60,7 @@ def scratch_path(spark: SparkSession, name: str) -> str | None:
     return folder and f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def _with_ratings(clean: DataFrame) -> DataFrame:
+def with_ratings(clean: DataFrame) -> DataFrame:
     """Both rating precisions, so that neither is worked out again by a report."""
     one_decimal = F.col("rating").try_cast(schema.WAREHOUSE_RATING)
     return clean.withColumn("warehouse_rating", one_decimal)
@@ -73,7 +74,7 @@ def write_store(clean: DataFrame, path: str, sort_by: Sequence[str] = ()) -> Sto
     """
     counted = Observation("contract")
     ordered = clean.sortWithinPartitions(*sort_by) if sort_by else clean
-    rows = _with_ratings(ordered).withColumn("load_position", F.monotonically_increasing_id())
+    rows = with_ratings(ordered).withColumn("load_position", F.monotonically_increasing_id())
     rows.observe(counted, contract.broken_rows()).write.mode("overwrite").parquet(path)
     return Stored(path, counted.get["broken_rows"])
 
@@ -83,6 +84,11 @@ def read_store(spark: SparkSession, stored: Stored) -> DataFrame:
     return spark.read.schema(schema.STORE).parquet(stored.path)
 
 
+def read_figures(spark: SparkSession, stored: Stored) -> DataFrame:
+    """The stored rows with what the cleaning job noted beside them, if it was clean_with_figures that made them."""
+    return spark.read.schema(T.StructType([*schema.STORE.fields, *schema.FIGURES.fields])).parquet(stored.path)
+
+
 def open_store(spark: SparkSession, path: str) -> Stored:
     """A table that an earlier session wrote; its broken rows are counted again."""
     found = Stored(path, 0)
@@ -111,7 +117,7 @@ def stored_listings(spark: SparkSession, sf_dir: str) -> Stored | None:
     key = (spark.sparkContext.applicationId, sf_dir)
     with _lock:
         if key not in _stored or not _still_there(spark, _stored[key]):
-            _stored[key] = write_store(clean_listings(raw_listings(spark, sf_dir)), path)
+            _stored[key] = write_store(clean_with_figures(raw_listings(spark, sf_dir)), path)
         return _stored[key]
 
 
@@ -149,22 +155,33 @@ def warehouse_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse_of(read_store(spark, stored))
 
 
-def with_ids(stored_rows: DataFrame) -> DataFrame:
-    """Dense ids 1..N in load order, from the positions written with the rows.
+def task_starts(stored_rows: DataFrame) -> DataFrame:
+    """(task, start): how many rows the write tasks before a task wrote.
 
-    Each write task numbered its own rows, so an id is the row's position plus
-    the number of rows of the tasks before it. Only one count per write task
-    passes through the ordered window, and only those counts are broadcast.
+    Only one count per write task passes through the ordered window.
     """
     task = F.shiftright("load_position", _TASK_BITS)
-    position = F.col("load_position").bitwiseAND(F.lit((1 << _TASK_BITS) - 1))
     per_task = stored_rows.groupBy(task.alias("task")).agg(F.count("*").alias("n"))
     before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    starts = per_task.select(
-        "task", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long").alias("start")
-    )
-    numbered = stored_rows.withColumn("task", task).join(F.broadcast(starts), "task")
-    return numbered.withColumn("id", F.col("start") + position + 1).drop("task", "start", "load_position")
+    return per_task.select("task", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long").alias("start"))
+
+
+def numbered(stored_rows: DataFrame, first_ids: DataFrame, keys: Sequence[str] = ("task",)) -> DataFrame:
+    """The rows with ids: the first id of their task and their position in it. One row per task is broadcast."""
+    position = F.col("load_position").bitwiseAND(F.lit((1 << _TASK_BITS) - 1))
+    placed = stored_rows.withColumn("task", F.shiftright("load_position", _TASK_BITS))
+    joined = placed.join(F.broadcast(first_ids), list(keys))
+    return joined.withColumn("id", F.col("first") + position).drop("task", "first", "load_position")
+
+
+def with_ids(stored_rows: DataFrame) -> DataFrame:
+    """Dense ids 1..N in load order, from the positions written with the rows.
+
+    Each write task numbered its own rows, so an id is the row's position plus
+    the number of rows of the tasks before it.
+    """
+    starts = task_starts(stored_rows)
+    return numbered(stored_rows, starts.select("task", (F.col("start") + 1).alias("first")))
 
 
 def warehouse_with_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

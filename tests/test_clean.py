@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 from stallwise import fixed_values as V
 from stallwise.functions import text as X
 
+from stallwise import jobs
 from stallwise.operators import clean as C
 from stallwise.operators import contract
+from stallwise.operators.quality import null_profile
+from stallwise.plans import quality_reports as Q
+from stallwise.sources import store
 from stallwise.sources.binding import raw_listings
 from conftest import SMALL
 
@@ -210,3 +214,29 @@ def test_conditions_on_raw_columns_are_applied_before_the_shuffle(spark, tmp_pat
     for frame in (C.price_corrections(stored), C.imputed_counts(stored)):
         plan = plan_of(frame)
         assert plan.rindex("Filter") > plan.rindex("Exchange")
+
+
+def test_figures_beside_the_rows(spark, raw, tmp_path):
+    rows = raw(
+        {}, {}, {}, {"area": None, "offer_name_raw": None}, {"area": "  ", "cuisine": None}, {"cost_for_two_raw": "₹199246"},
+        {"cost_for_two_raw": "₹199246"}, {"rating_raw": None, "offer_count": None, "location": "Goa"},
+    )
+    stored = store.write_store(C.clean_with_figures(rows), str(tmp_path / "out"))
+    got = {name: sorted(map(tuple, frame.collect()), key=repr) for name, frame in jobs.cleaning_figures(spark, stored).items()}
+    clean = C.clean_listings(rows)
+    want = {
+        "row_counts": Q.row_counts(rows, clean), "duplicates": C.duplicate_count(rows), "raw_nulls": null_profile(rows, 2),
+        "price_corrections": C.price_corrections(rows), "imputed": C.imputed_counts(rows),
+    }
+    assert got == {name: sorted(map(tuple, frame.collect()), key=repr) for name, frame in want.items()}
+    assert {k: f.dtypes for k, f in jobs.cleaning_figures(spark, stored).items()} == {k: f.dtypes for k, f in want.items()}
+    assert sorted(map(tuple, jobs.open_clean(spark, stored).collect()), key=repr) == sorted(map(tuple, clean.collect()), key=repr)
+    plan = jobs.cleaning_figures(spark, stored)["price_corrections"]._jdf.queryExecution().executedPlan().toString()
+    assert "IsNotNull(price_before)" in plan and "Exchange" not in plan
+
+
+def test_figures_of_an_empty_file(spark, raw, tmp_path):
+    stored = store.write_store(C.clean_with_figures(raw({}).filter("1 = 0")), str(tmp_path / "out"))
+    figures = jobs.cleaning_figures(spark, stored)
+    assert figures["duplicates"].first()[0] == 0 and tuple(figures["imputed"].first()) == (0, 0)
+    assert {r["null_count"] for r in figures["raw_nulls"].collect()} == {0}
