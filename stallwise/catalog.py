@@ -19,7 +19,7 @@ from stallwise.plans import dashboards as D
 from stallwise.plans import exploration_reports as E
 from stallwise.plans import quality_reports as Q
 from stallwise.plans import views
-from stallwise.sources import listings_io, loads, store
+from stallwise.sources import listings_io, loads, store, view_state
 from stallwise.sources.binding import raw_listings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,6 +135,38 @@ def _loaded_rows(version: int) -> Query:
     return lambda spark, sf_dir: store.clean_of(_loaded_in_batches(spark, sf_dir).rows(version))
 
 
+_view_states: dict[tuple[str, str], view_state.ViewState] = {}
+
+
+def _view_state(spark: SparkSession, sf_dir: str) -> view_state.ViewState:
+    """Listings that come in batches, some with a wrong price that is revised, some that go and come back."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _view_states:
+        path = store.scratch_path(spark, "view-state")
+        if path is None:
+            raise RuntimeError("kept views need a folder that all executors share: set spark.checkpoint.dir")
+        listings, state = store.warehouse_table(spark, sf_dir), view_state.ViewState(spark, path, merge_at=3)
+        cheap = F.col("cost_for_two") < 300
+        wrong = listings.filter(~cheap).withColumn("cost_for_two", F.col("cost_for_two") + 7)
+        veg = listings.filter("is_pure_veg")
+        state.apply("cheap", listings.filter(cheap))
+        state.apply("others", wrong)
+        state.apply("prices", listings.filter(~cheap), wrong)
+        state.apply("cheap", listings.filter(cheap))
+        state.apply("veg closed", deleted=veg)
+        state.apply("veg open", veg)
+        _view_states[key] = state
+    return _view_states[key]
+
+
+def _kept_city_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _doubles(_view_state(spark, sf_dir).city_summary())
+
+
+def _kept_cuisine_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _doubles(_view_state(spark, sf_dir).cuisine_matrix())
+
+
 def _lift(report, segment: str, first: str, second: str, metric: str) -> Query:
     return _on_warehouse(lambda listings: lift(report(listings), segment, first, second, metric))
 
@@ -215,6 +247,8 @@ def queries() -> dict[str, Query]:
         "vw1_listings_enriched": _on_enriched(lambda enriched: enriched),
         "vw2_city_summary": _on_warehouse(views.city_summary),
         "vw3_cuisine_matrix": _on_warehouse(views.cuisine_matrix),
+        "vw2_kept_city_summary": _kept_city_summary,
+        "vw3_kept_cuisine_matrix": _kept_cuisine_matrix,
         # Measures
         "m_all_measures": _measures(list(MEASURES)),
         "m_kpi_row": _on_enriched(D.kpi_row),

@@ -510,7 +510,7 @@ def _views() -> dict[str, str]:
         f"{many} AS avg_reviews_aggressive_offers, {none} AS avg_reviews_no_offers, {lift} AS discount_review_lift "
         "FROM v GROUP BY city) b USING (city)", enriched)
     everything = list(value)
-    return {
+    found = {
         "vw1_listings_enriched": _with("SELECT * EXCLUDE (r10) FROM v", enriched),
         "vw2_city_summary": _with(
             f"SELECT location AS city, count(*) AS total_restaurants, {R} AS avg_rating, {COST0} AS avg_cost_for_two, "
@@ -546,6 +546,10 @@ def _views() -> dict[str, str]:
         "d10_price_tiers": measured(["average_rating", "total_review_volume"], ["price_tier", "price_tier_sort"]),
         "d11_chains": chain,
     }
+    return found | {
+        "vw2_kept_city_summary": found["vw2_city_summary"],
+        "vw3_kept_cuisine_matrix": found["vw3_cuisine_matrix"],
+    }
 
 
 def statements() -> dict[str, str]:
