@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from stallwise.llm import bpe, common, conversation_trie, decontamination, exact_dedup, html_text, ngram_join, periodic_runs, pii
-from stallwise.llm import quality_rules, sql, suffix_dedup, token_counts, toxicity, url_filter
+from stallwise.llm import quality_rules, shared_passages, sql, suffix_dedup, token_counts, toxicity, url_filter
 from stallwise.llm.common import documents, ship
 from stallwise.sources import store
 
@@ -39,7 +39,9 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.without_repeats(documents(spark, sf_dir), digests=True)
+    """Passages of over 50 words can be shorter than 400 bytes; a column of their own tells which documents share one."""
+    docs = documents(spark, sf_dir)
+    return suffix_dedup.without_repeats(docs, digests=True, passages=shared_passages.sharing(docs))
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

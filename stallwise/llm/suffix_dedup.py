@@ -124,12 +124,16 @@ def anchors(raws: list[bytes], length: int) -> list[tuple[np.ndarray, np.ndarray
 
 
 def _anchors_of(pieces: list[tuple[int, bytes]], length: int, gram: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    data = np.frombuffer(b"".join(raw for _, raw in pieces), np.uint8)
-    hashes = Hashes(data)
+    hashes = Hashes(np.frombuffer(b"".join(raw for _, raw in pieces), np.uint8))
+    sizes = np.fromiter((len(raw) for _, raw in pieces), np.int64, len(pieces))
+    return anchors_in(hashes, sizes, np.fromiter((at for at, _ in pieces), np.int64, len(pieces)), length, gram)
+
+
+def anchors_in(hashes: Hashes, sizes: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The anchors of pieces that lie one behind the other, each at least `length` long."""
     grams = hashes.of_length(gram)
     keys = (grams >> _U(32) << _U(32)) | np.arange(len(grams), dtype=np.uint64)
     anchor = (sliding_least(keys, length - gram + 1) & _U(0xFFFFFFFF)).astype(np.int64)
-    sizes = np.fromiter((len(raw) for _, raw in pieces), np.int64, len(pieces))
     begins = np.cumsum(sizes) - sizes
     counts = sizes - length + 1  # window starts inside a piece
     first = np.cumsum(counts) - counts
@@ -139,9 +143,8 @@ def _anchors_of(pieces: list[tuple[int, bytes]], length: int, gram: int) -> list
     s, e, a = starts[new], starts[np.append(new[1:], len(starts)) - 1], chosen[new]
     context = hashes.of(s, e + length) ^ common.mix((a - s).astype(_U) * _U(65536) + (e - s).astype(_U))
     piece = np.searchsorted(begins, s, side="right") - 1
-    offsets = np.fromiter((at for at, _ in pieces), np.int64, len(pieces))
     place = ((s - begins[piece] + offsets[piece]) << 32) | ((a - s) << 16) | (e - s)
-    cuts = np.searchsorted(piece, np.arange(1, len(pieces)))
+    cuts = np.searchsorted(piece, np.arange(1, len(sizes)))
     # Anchors have small hashes; spread again, their numbers fill the range evenly.
     columns = common.mix(grams[a]).view(np.int64), common.mix(context).view(np.int64), place
     return list(zip(*(np.split(c, cuts) for c in columns)))
@@ -470,17 +473,29 @@ def _cut(digests: bool):
                 out.append((len(raw), removed, count, hashlib.sha256(rest).hexdigest() if digests else rest))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string() if digests else pa.binary())
             arrays = [pa.array([o[i] for o in out], kind) for i, kind in enumerate(kinds)]
-            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256" if digests else "kept"]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays], names=names)
+            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256" if digests else "kept", "shares_passage"]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays, batch.column("shares_passage")], names=names)
 
     return run
 
 
-def without_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", digests: bool = False, group_most: int = GROUP_MOST) -> DataFrame:
-    """One row per input row: doc_id, n_bytes, n_removed, n_spans, and the bytes that are left, or their SHA-256."""
-    spans = repeated_spans(docs, length, id_col, text_col, group_most)
-    lists = spans.groupBy("doc_id", "k").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+def without_repeats(
+    docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", digests: bool = False,
+    group_most: int = GROUP_MOST, passages: DataFrame | None = None,
+) -> DataFrame:
+    """One row per input row: doc_id, n_bytes, n_removed, n_spans, and the bytes that are left, or their SHA-256.
+
+    `passages` (doc_id, k) are documents that shares_passage is true for, as found
+    by shared_passages.sharing; it has no part in what is removed.
+    """
+    spans = repeated_spans(docs, length, id_col, text_col, group_most).withColumn("shares", F.lit(False))
+    if passages is not None:
+        spans = spans.unionByName(passages.withColumn("shares", F.lit(True)), allowMissingColumns=True)
+    own = F.collect_list(F.when(F.col("start").isNotNull(), F.struct("start", "end")))
+    lists = spans.groupBy("doc_id", "k").agg(own.alias("spans"), F.max("shares").alias("shares"))
     rows = _keyed(docs, id_col, text_col)
-    joined = rows.join(lists, _same(rows, lists), "left").select(rows["doc_id"], "text", "spans")
+    shares = F.coalesce("shares", F.lit(False)).alias("shares_passage")
+    joined = rows.join(lists, _same(rows, lists), "left").select(rows["doc_id"], "text", "spans", shares)
     last = "kept_sha256 string" if digests else "kept binary"
-    return joined.mapInArrow(_cut(digests), f"doc_id long, n_bytes long, n_removed long, n_spans long, {last}")
+    found = joined.mapInArrow(_cut(digests), f"doc_id long, n_bytes long, n_removed long, n_spans long, {last}, shares_passage boolean")
+    return found if passages is not None else found.drop("shares_passage")
