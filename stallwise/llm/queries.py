@@ -68,7 +68,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in range(2):
         for batch, changes in batches.items():
             rollup.apply(batch, changes)
-    return rollup.totals(list(batches))
+    return rollup.totals()
 
 
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

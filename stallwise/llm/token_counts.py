@@ -3,26 +3,30 @@
 A change is a signed count: an insert adds a document's tokens, a delete takes
 them away, and a revised count does both. A batch of changes is summed per key
 in its tasks and after one shuffle (a key with a third of all documents is one
-row per task by then) and stored under its id, followed by a commit record.
-Totals are the sums over committed batches, so nothing is ever recounted.
+row per task by then), added to the totals so far, and the new totals are
+written and committed. So the totals are one small table that a reader opens
+with its last commit record, however many batches there were.
 
-Applying a batch again changes nothing: with a commit record it is skipped,
-without one (a job that died half way) its deltas are written anew.
+The record names the batches that the totals hold; one of those is not applied
+again. A job that dies before its record is written has changed nothing. Two
+jobs cannot commit the same version: the later one adds its deltas to the totals
+of the other.
 
 Defined cases: null texts have no tokens but count as documents; null sources
-and languages are keys of their own; keys whose documents and tokens both come
-to zero have no row; an empty batch is committed and adds nothing.
+and languages are keys of their own; rows that repeat an id, or have none, count
+each; keys whose documents and tokens both come to zero have no row; an empty
+batch is committed and adds nothing; extra columns are ignored.
 """
 
-import re
+import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallwise.llm import bpe, common
+from stallwise.sources.commits import CommitConflict, CommitLog
 
 KEYS = ["source", "lang", "tokenizer"]
 _DELTAS = "source string, lang string, tokenizer string, docs long, tokens long"
@@ -65,32 +69,40 @@ class Rollup:
     """Additive totals in a folder that all executors share."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder.rstrip("/")
+        self.spark, self.log = spark, CommitLog(spark, folder)
+
+    def _now(self) -> dict:
+        return self.log.last() or {"number": 0, "totals": None, "batches": []}
+
+    def _read(self, folder: str | None) -> DataFrame:
+        if folder is None:
+            return self.spark.createDataFrame([], _DELTAS)
+        return self.spark.read.schema(_DELTAS).parquet(f"{self.log.root}/{folder}")
 
     def committed(self, batch: str) -> bool:
-        try:
-            return self.spark.read.schema("batch string").parquet(self._path("commits", batch)).count() == 1
-        except AnalysisException:
-            return False
+        return batch in self._now()["batches"]
 
     def apply(self, batch: str, changes: DataFrame) -> bool:
         """Add a batch of changes (source, lang, tokenizer, sign, tokens); False if it was there already."""
         if self.committed(batch):
             return False
-        deltas = changes.groupBy(*KEYS).agg(F.sum("sign").alias("docs"), F.sum(F.col("sign") * F.col("tokens")).alias("tokens"))
-        deltas.write.mode("overwrite").parquet(self._path("deltas", batch))
-        self.spark.createDataFrame([(batch,)], "batch string").coalesce(1).write.mode("overwrite").parquet(self._path("commits", batch))
-        return True
-
-    def totals(self, batches: list[str]) -> DataFrame:
-        """source, lang, tokenizer, docs, tokens over those of the batches that are committed."""
-        paths = [self._path("deltas", batch) for batch in batches if self.committed(batch)]
-        if not paths:
-            return self.spark.createDataFrame([], _DELTAS)
-        deltas = self.spark.read.schema(_DELTAS).parquet(*paths)
-        return deltas.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).filter("docs <> 0 OR tokens <> 0")
-
-    def _path(self, kind: str, batch: str) -> str:
-        if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9_.-]*", batch):
-            raise ValueError(f"not a batch id: {batch!r}")
-        return f"{self.folder}/{kind}/{batch}"
+        deltas = f"deltas/{uuid.uuid4().hex}"
+        summed = changes.groupBy(*KEYS).agg(F.sum("sign").alias("docs"), F.sum(F.col("sign") * F.col("tokens")).alias("tokens"))
+        summed.write.parquet(f"{self.log.root}/{deltas}")
+        while not self.committed(batch):
+            now, number, totals = self._now(), self.log.next_number(), f"totals/{uuid.uuid4().hex}"
+            both = self._read(now["totals"]).unionByName(self._read(deltas)).groupBy(*KEYS)
+            both = both.agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).filter("docs <> 0 OR tokens <> 0")
+            both.write.parquet(f"{self.log.root}/{totals}")
+            if self._now()["number"] != now["number"]:
+                continue
+            try:
+                self.log.commit(number, {"number": number, "totals": totals, "batches": [*now["batches"], batch]})
+            except CommitConflict:
+                continue
+            return True
+        return False
+
+    def totals(self) -> DataFrame:
+        """source, lang, tokenizer, docs, tokens over all committed batches."""
+        return self._read(self._now()["totals"])
