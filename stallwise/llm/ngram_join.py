@@ -343,21 +343,43 @@ def link_tree(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
 
 
 def _met(percent: int):
-    """Links of the groups of a task; rows come sorted by group."""
+    """Links of the groups of a task; rows come sorted by group.
+
+    Where a group is one of several parts of a list, its members that are not
+    connected to the head, which all parts have, come too, with no partner: only
+    those have to meet the other parts.
+    """
+
+    def links(group: dict[int, bytes], key: tuple, head: int, parts: int) -> list[tuple]:
+        tree = _tree(group, percent)
+        out = [(key[0], a, b) for a, b in tree]
+        if parts > 1:
+            near: dict[int, list[int]] = {}
+            for a, b in tree:
+                near.setdefault(a, []).append(b)
+                near.setdefault(b, []).append(a)
+            known, todo = {head}, [head]
+            while todo:
+                new = [x for x in near.get(todo.pop(), ()) if x not in known]
+                known.update(new)
+                todo += new
+            out += [(key[0], node, None) for node in group if node not in known]
+        return out
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, group, out = None, {}, []
+        now, group, about, out = None, {}, (0, 0), []
         for batch in batches:
-            keys = zip(*(batch.column(c).to_pylist() for c in ("leader", "i", "j")))
-            for key, node, raw in zip(keys, batch.column("member").to_pylist(), batch.column("shingles").to_pylist()):
-                if key != now:
-                    out += _tree(group, percent)
-                    now, group = key, {}
+            columns = [batch.column(c).to_pylist() for c in ("leader", "i", "j", "member", "head", "parts", "shingles")]
+            for leader, i, j, node, head, parts, raw in zip(*columns):
+                if (leader, i, j) != now:
+                    if now is not None:
+                        out += links(group, now, *about)
+                    now, group, about = (leader, i, j), {}, (head, parts)
                 group[node] = raw
             if len(out) > 50_000:
                 yield _edges(out)
                 out = []
-        yield _edges(out + _tree(group, percent))
+        yield _edges(out + (links(group, now, *about) if now is not None else []))
 
     return run
 
@@ -369,8 +391,46 @@ def _tree(group: dict[int, bytes], percent: int) -> list[tuple[int, int]]:
     return [(nodes[a], nodes[b]) for a, b in link_tree([np.frombuffer(group[k], _U) for k in nodes], percent)]
 
 
-def _edges(rows: list[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(2)], names=["a", "b"])
+def _edges(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(3)], names=["leader", "a", "b"])
+
+
+def _links(members: DataFrame, sets: DataFrame, percent: int, group_sets: int, group_shingles: int) -> DataFrame:
+    """(a, b): links that connect what is connected within each list.
+
+    A list that is too large for a task is met in parts, each with the list's
+    head. What is connected to the head is in one component with all others that
+    are, so only the rest meets the other parts: a list of near copies costs as
+    many rows as it has members.
+    """
+    sized = members.groupBy("leader").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles"), F.min("member").alias("head"))
+    parts = F.ceil(F.greatest(F.col("sets") / group_sets, F.col("shingles") / group_shingles)).cast("long")
+    sized = sized.filter("sets > 1").select("leader", "head", "sets", parts.alias("parts"))
+    own = F.pmod(F.xxhash64("member"), F.col("parts"))
+    placed = members.select("leader", "member").join(sized, "leader").withColumn("own", own)
+    every = F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)
+    where = F.explode(F.when(F.col("member") == F.col("head"), every).otherwise(F.array("own"))).alias("i")
+
+    def met(dealt: DataFrame) -> DataFrame:
+        meeting = dealt.join(sets, "member").repartition("leader", "i", "j").sortWithinPartitions("leader", "i", "j")
+        return meeting.select("leader", "i", "j", "member", "head", "parts", "shingles").mapInArrow(_met(percent), "leader long, a long, b long")
+
+    none = F.lit(0).cast("long")
+    first = common.stored(met(placed.select("leader", "member", "head", "parts", where, none.alias("j"))), "ngram-links")
+    rest = common.stored(first.filter("b IS NULL").select("leader", F.col("a").alias("member")).distinct(), "ngram-rest")
+    edges = first.filter("b IS NOT NULL").select("a", "b")
+    if rest.isEmpty():
+        return edges
+    share = F.ceil(F.count("*") * F.first("parts") / F.first("sets")).cast("long")
+    counted = rest.join(sized, "leader").groupBy("leader").agg(share.alias("rests"), F.first("parts").alias("parts"))
+    others = placed.drop("parts").join(counted, "leader").select(
+        "leader", "member", F.col("own").alias("i"), F.explode(F.sequence(none, F.col("rests") - 1)).alias("j")
+    )
+    mine = rest.join(counted, "leader").select(
+        "leader", "member", F.explode(every).alias("i"), F.pmod(F.xxhash64("member"), F.col("rests")).alias("j")
+    )
+    both = others.unionByName(mine).select("*", none.alias("head"), F.lit(1).cast("long").alias("parts"))
+    return edges.unionByName(met(both).select("a", "b"))
 
 
 def _sets_of(width: int):
@@ -429,14 +489,7 @@ def linked(
     involved = members.select(F.col("member").alias("node")).distinct().join(nodes.select("node", "rep", "signature"), "node")
     texts = rows.join(involved, rows["doc_id"].eqNullSafe(involved["rep"])).select("node", "signature", "text")
     sets = common.stored(texts.mapInArrow(_sets_of(width), "member long, shingles binary"), "ngram-sets")
-    per_leader = members.groupBy("leader").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles"))
-    cut = F.ceil(F.greatest(F.col("sets") / group_sets, F.col("shingles") / group_shingles)).cast("long")
-    per_leader = per_leader.filter("sets > 1").select("leader", cut.alias("cut"))
-    own = F.pmod(F.xxhash64("member"), F.col("cut"))
-    dealt = members.join(per_leader, "leader").select("leader", "member", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("cut") - 1)).alias("other"))
-    dealt = dealt.select("leader", "member", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    meeting = dealt.join(sets, "member").repartition("leader", "i", "j").sortWithinPartitions("leader", "i", "j")
-    edges = meeting.select("leader", "i", "j", "member", "shingles").mapInArrow(_met(percent), "a long, b long")
+    edges = _links(members, sets, percent, group_sets, group_shingles)
     found = common.components(edges)
     labelled = nodes.select("node", "signature", "rep", "copies").join(found, "node", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "node"))

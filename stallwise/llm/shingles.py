@@ -4,14 +4,20 @@ Words are runs of bytes other than space and 0x09-0x0D, A-Z lower-cased. A
 shingle is `width` words in a row; a text with fewer words, but some, has all of
 them as its one shingle. A word's number is a polynomial of its bytes, spread by
 a bijection; a shingle's number is the same of its words. Both have 64 bits.
+Long words could be made so that such polynomials are equal whatever the base,
+so their numbers are the first bytes of their SHA-256.
 """
 
+import hashlib
 from functools import lru_cache
 
 import numpy as np
 
 from stallwise.llm.common import LOWER_BYTES, mix
 
+#: Bytes beyond which a word's number is a digest.
+LONG_WORD = 64
+
 _U = np.uint64
 _BASE = 0xD6E8FEB86659FD93
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -42,6 +48,8 @@ def word_numbers(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     sums = np.zeros(len(joined) + 1, _U)
     np.cumsum(_BYTES[joined] * powers[: len(joined)], out=sums[1:])
     numbers = mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(_U))
+    for i in np.flatnonzero(ends - starts > LONG_WORD).tolist():
+        numbers[i] = int.from_bytes(hashlib.sha256(joined[starts[i] : ends[i]].tobytes()).digest()[:8], "big")
     lengths = np.fromiter(map(len, raws), np.int64, len(raws)) + 1
     begins = np.cumsum(lengths) - lengths
     counts = np.diff(np.searchsorted(starts, np.append(begins, len(joined) + 1)))

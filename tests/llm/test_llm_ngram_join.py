@@ -131,3 +131,48 @@ def test_blocks_are_skipped_without_loss():
     match = ngram_join.possible(n, at, n, at, 85)
     np.fill_diagonal(match, False)
     assert (ngram_join.partners(n, at, 85) == match.any(axis=1)).all()
+
+
+def _connected(edges, n):
+    parent = list(range(n))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        parent[find(a)] = find(b)
+    return [find(x) for x in range(n)]
+
+
+@pytest.mark.parametrize("kinds", [1, 4])
+def test_a_large_list_of_near_copies_meets_its_head_only(spark, monkeypatch, kinds):
+    """Rows grow with the members, not with their square; other kinds in the list meet all."""
+    pick, n = np.random.default_rng(kinds), 3000
+    bases = [np.sort(pick.integers(0, 2**63, 100).astype(np.uint64)) for _ in range(kinds)]
+    sets, kind = [], []
+    for i in range(n):
+        k = i % kinds if i < 5 * kinds else 0
+        kind.append(k)
+        sets.append(np.delete(bases[k], pick.integers(0, 100, 2)))
+    members = frame(spark, [(0, i, len(s)) for i, s in enumerate(sets)], "leader long, member long, n long")
+    held = frame(spark, [(i, s.tobytes()) for i, s in enumerate(sets)], "member long, shingles binary")
+    counts, stored = {}, common.stored
+    monkeypatch.setattr(common, "stored", lambda f, name: (counts.update({name: (s := stored(f, name)).count()}), s)[1])
+    edges = [tuple(r) for r in ngram_join._links(members, held, 85, 100, 10**9).collect()]
+    groups = _connected(edges, n)
+    assert len({(g, k) for g, k in zip(groups, kind)}) == len(set(groups)) == kinds
+    assert counts["ngram-rest"] == (0 if kinds == 1 else 5 * (kinds - 1))
+    # A link for each member and, where a list has parts, one for the head in each.
+    assert counts["ngram-links"] < 1.1 * n
+
+
+def test_long_words_are_told_apart(spark):
+    """A Thue-Morse word and its complement: polynomials modulo 2**64 do not tell them apart."""
+    run = [0]
+    while len(run) < 1024:
+        run += [1 - x for x in run]
+    rows = [(1, "".join("ab"[x] for x in run)), (2, "".join("ba"[x] for x in run)), (3, "".join("ab"[x] for x in run))]
+    assert rows_of(ngram_join.linked(frame(spark, rows), width=4, percent=85)) == [(1, 1, 1), (2, 1, 2), (3, 1, 1)]
