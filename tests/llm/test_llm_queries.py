@@ -26,10 +26,10 @@ def test_matches_sql(spark, name):
 
 def test_all_are_registered():
     names = __spark_entry__.queries()
-    assert {int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)} == set(range(1, 11)) and "pipeline" in names
+    assert {int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)} == set(range(1, 14)) and "pipeline" in names
 
 
-@pytest.mark.parametrize("name, table, key", [("op8_url_filter", "pages", "page_id"), ("op10_html_text", "pages", "page_id"), ("op5_bpe", "documents", "doc_id")])
+@pytest.mark.parametrize("name, table, key", [("op8_url_filter", "pages", "page_id"), ("op10_html_text", "pages", "page_id"), ("op5_bpe", "documents", "doc_id"), ("op11_periodic_runs", "documents", "doc_id"), ("op12_quality_rules", "documents", "doc_id")])
 def test_one_row_per_row(spark, name, table, key):
     found = sorted(r[key] for r in llm.queries()[name](spark, SMALL).select(key).collect())
     assert found == sorted(r[0] for r in duckdb.sql(f"SELECT {key} FROM '{SMALL}/{table}.parquet'").fetchall())
