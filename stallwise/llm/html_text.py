@@ -5,19 +5,25 @@ knows void and raw-text elements, ignores end tags that match nothing, and
 closes everything at the end. A renderer then emits all visible text in reading
 order:
 
-* invisible are head, scripts, styles, templates and their like, comments,
-  elements with `hidden`, with `display:none` or `visibility:hidden` in their
-  style attribute or by a simple selector (tag, .class, #id, tag.class) of the
-  page's own styles, as far as these hold on a wide screen (`SCREEN`), all
-  options but the selected one, the body of closed details, and what SVG and
-  MathML only define or annotate;
+* invisible are head, scripts, styles, templates and their like, comments, what
+  `display` and `visibility` hide, all options but the selected one, the body of
+  closed details, and what SVG and MathML only define or annotate;
+* `display` and `visibility` cascade: the `hidden` attribute, then the page's own
+  styles as far as they hold on a wide screen (`SCREEN`), by specificity and
+  order, then the style attribute, then what is `!important`. Selectors are made
+  of tags, classes and ids, also below one another (`div .x`, `ul > li`); rules
+  with other selectors are left out. Visibility is inherited, and what is visible
+  inside something invisible is shown;
 * blocks begin on a new line, paragraphs, headings, lists and tables are set
   off by an empty line, `br` breaks, white space collapses except in pre;
 * list items get a dash or their number and are indented by depth;
-* table cells are padded to the width of their columns, also over `colspan`.
+* table cells are padded to the width of their columns, also over `colspan`;
+  their blocks, lists and breaks give several lines below one another, and a cell
+  with `rowspan` keeps its column free in the rows that follow.
 
-Defined cases: null and empty pages give an empty text; markup without tags is
-text; unclosed tags and comments run to the end; very deep nesting is handled
+Defined cases: null and empty pages give an empty text; every input row gives
+one, also those that repeat an id or have none; an empty table gives no rows;
+extra columns are ignored; markup without tags is text; unclosed tags and comments run to the end; very deep nesting is handled
 without recursion, except that tables nested over `DEEPEST` deep are laid out as
 plain blocks.
 """
@@ -47,15 +53,14 @@ _DISPLAY = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([\w-]+)\s*(!\s*imp
 SCREEN = {"width": 1920.0, "height": 1080.0, "device-width": 1920.0, "device-height": 1080.0}
 _FEATURES = {"orientation": "landscape", "hover": "hover", "any-hover": "hover", "pointer": "fine", "prefers-color-scheme": "light", "prefers-reduced-motion": "no-preference", "scripting": "enabled"}
 _BOUND = re.compile(r"(?:([\d.]+)(px|em|rem)?\s*(<=?|>=?)\s*)?([a-z-]+)\s*(?:(<=?|>=?|=|:)\s*([\d.]+)(px|em|rem)?)?")
-_HIDING = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
-_SELECTOR = re.compile(r"^([a-z][a-z0-9]*)?(?:([.#])([\w-]+))?$", re.I)
+_COMPOUND = re.compile(r"(\*|[a-z][a-z0-9-]*)?((?:[.#][\w-]+)*)", re.I)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 _FOREIGN = frozenset(["svg", "math"])
 _ONLY_DEFINED = frozenset("desc metadata defs symbol clippath mask marker pattern filter lineargradient radialgradient annotation annotation-xml mphantom".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-NEVER_SHOWN = frozenset("head script style template title noscript iframe noembed noframes object audio video canvas datalist meta link base param source track area map".split())
+NEVER_SHOWN = frozenset("head script style template title noscript iframe noembed noframes object audio video canvas datalist meta link base param source track area".split())
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup p pre section summary table tbody td tfoot th thead tr ul caption text foreignobject".split())
 SET_OFF = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure fieldset hr menu dir".split())
 LISTS = frozenset("ul ol menu dir".split())
@@ -77,14 +82,17 @@ ENDED_BY = {
 _HEAD_ONLY = frozenset("title base link meta style script noscript template".split())
 #: An end tag does not reach beyond these.
 _SCOPES = frozenset("table td th caption html template".split())
+#: Nor does the end of a paragraph that a start tag implies.
+_P_SCOPES = _SCOPES | LISTS | frozenset("li dd dt button marquee object".split())
 _IN_ROWS = frozenset(["table", "thead", "tbody", "tfoot", "tr"])
 
 
 class Element:
-    __slots__ = ("tag", "attributes", "children")
+    __slots__ = ("tag", "attributes", "children", "parent", "visible")
 
-    def __init__(self, tag: str, attributes: dict[str, str]):
-        self.tag, self.attributes = tag, attributes
+    def __init__(self, tag: str, attributes: dict[str, str], parent: "Element | None" = None):
+        self.tag, self.attributes, self.parent = tag, attributes, parent
+        self.visible: bool | None = None  # once it is known
         self.children: list[Element | str] = []
 
 
@@ -140,7 +148,7 @@ class TreeBuilder:
         self.counts[self.open.pop().tag] -= 1
 
     def push(self, tag: str, attributes: dict[str, str]) -> None:
-        element = Element(tag, attributes)
+        element = Element(tag, attributes, self.open[-1])
         self.open[-1].children.append(element)
         self.open.append(element)
         self.counts[tag] = self.counts.get(tag, 0) + 1
@@ -178,7 +186,7 @@ class TreeBuilder:
         elif tag not in _HEAD_ONLY and tag != "head":
             self.leave_head()
         if tag in ENDS_P and self.counts.get("p"):
-            self.close_to(frozenset(["p"]), _SCOPES | frozenset(["li", "dd", "dt"]) | LISTS)
+            self.close_to(frozenset(["p"]), _P_SCOPES)
         if tag in ENDED_BY:
             self.close_to(*ENDED_BY[tag])
         if any(self.counts.get(n) for n in _FOREIGN) and not self.counts.get("foreignobject"):
@@ -286,28 +294,96 @@ def rules_of(css: str) -> Iterator[tuple[str, str]]:
                     yield selectors, ";".join(declarations)
 
 
-def hidden_selectors(page: str) -> set[tuple[str, str, str]]:
-    """The simple selectors (tag, . or #, name) that the page's styles hide on a wide screen."""
-    hiding: dict[tuple[str, str, str, str], tuple[bool, bool]] = {}  # by property: hidden, important
-    for raw, block in re.findall(r"<style\b([^>]*)>(.*?)(?:</style|\Z)", page, re.S | re.I):
-        media = attributes_of(raw).get("media", "").strip()
-        if media and not on_screen(media):
-            continue
-        for selectors, body in rules_of(block):
-            said = [(kind.lower(), value.lower() in ("none", "hidden", "collapse"), bool(weight)) for kind, value, weight in _DISPLAY.findall(body)]
-            for selector in selectors.split(",") if said else ():
-                m = _SELECTOR.match(selector.strip())
-                if m and (m[1] or m[3]):
-                    for kind, hides, important in said:
-                        key = ((m[1] or "").lower(), m[2] or "", m[3] or "", kind)
-                        if important or not hiding.get(key, (False, False))[1]:
-                            hiding[key] = hides, important
-    return {key[:3] for key, (hides, _) in hiding.items() if hides}
+def compounds(selector: str) -> list[tuple[str, str, frozenset[str], frozenset[str]]] | None:
+    """(how it lies below the one before, tag, ids, classes) of each part, outermost first; None for other selectors."""
+    out = []
+    for sign, part in re.findall(r"\s*(>?)\s*([^\s>]+)", selector.strip()):
+        m = _COMPOUND.fullmatch(part)
+        if not m or not (m[1] or m[2]):
+            return None
+        names = re.findall(r"([.#])([\w-]+)", m[2])
+        kinds = [frozenset(name for kind, name in names if kind == k) for k in "#."]
+        out.append((sign, "" if m[1] in (None, "*") else m[1].lower(), *kinds))
+    return out if out and not out[0][0] and re.sub(r"[^>]", "", selector) == "".join(sign for sign, *_ in out) else None
+
+
+def _fits(element: Element, tag: str, ids: frozenset[str], classes: frozenset[str]) -> bool:
+    own = element.attributes
+    return (
+        (not tag or tag == element.tag)
+        and (not ids or ids == {own.get("id")})
+        and (not classes or classes <= set(own.get("class", "").split()))
+    )
+
+
+class Styles:
+    """What the page's styles say of display and visibility on a wide screen."""
+
+    def __init__(self, page: str):
+        # By a name of the innermost part, so that an element looks at few rules.
+        self.rules: dict[str, list[tuple]] = {}
+        order = 0
+        for raw, block in re.findall(r"<style\b([^>]*)>(.*?)(?:</style|\Z)", page, re.S | re.I):
+            media = attributes_of(raw).get("media", "").strip()
+            if media and not on_screen(media):
+                continue
+            for selectors, body in rules_of(block):
+                said = [(kind.lower(), value.lower(), bool(weight)) for kind, value, weight in _DISPLAY.findall(body)]
+                for selector in selectors.split(",") if said else ():
+                    parts = compounds(selector)
+                    if parts:
+                        order += 1
+                        weight = (sum(len(p[2]) for p in parts), sum(len(p[3]) for p in parts), sum(bool(p[1]) for p in parts), order)
+                        _, tag, ids, classes = parts[-1]
+                        name = min(("#" + x for x in ids), default=min(("." + x for x in classes), default=tag))
+                        self.rules.setdefault(name, []).append((parts, weight, said))
+
+    def matches(self, element: Element, parts: list[tuple]) -> bool:
+        """Whether the element is the innermost of these parts. Each open choice is the nearest ancestor, or one above it."""
+        if not _fits(element, *parts[-1][1:]):
+            return False
+        todo = [(element, len(parts) - 1)]
+        while todo:
+            at, i = todo.pop()
+            if i == 0:
+                return True
+            above = at.parent
+            if above is None:
+                continue
+            if _fits(above, *parts[i - 1][1:]):
+                todo.append((above, i - 1))
+                if parts[i][0] or i == 1:
+                    continue
+            if not parts[i][0]:
+                # The same part may be found further up.
+                while (above := above.parent) is not None and not _fits(above, *parts[i - 1][1:]):
+                    pass
+                if above is not None:
+                    todo.append((above, i - 1))
+        return False
+
+    def said(self, element: Element) -> dict[str, str]:
+        """The winning display and visibility of an element, where something is said of them."""
+        own = element.attributes
+        won: dict[str, tuple] = {"display": ((False, False, (-1,)), "none")} if "hidden" in own else {}
+        names = ["", element.tag, "#" + own.get("id", ""), *("." + c for c in own.get("class", "").split())] if self.rules else []
+        for name in names:
+            for parts, weight, said in self.rules.get(name, ()):
+                if self.matches(element, parts):
+                    for kind, value, important in said:
+                        rank = (important, False, weight)
+                        if kind not in won or rank >= won[kind][0]:
+                            won[kind] = rank, value
+        for kind, value, important in _DISPLAY.findall(own["style"]) if "style" in own else ():
+            rank, kind = (bool(important), True, (0,)), kind.lower()
+            if kind not in won or rank >= won[kind][0]:
+                won[kind] = rank, value.lower()
+        return {kind: value for kind, (_, value) in won.items()}
 
 
 class Renderer:
-    def __init__(self, hidden: set[tuple[str, str, str]], depth: int = 0):
-        self.hidden, self.depth = hidden, depth
+    def __init__(self, styles: Styles, depth: int = 0):
+        self.styles, self.depth = styles, depth
         self.lines: list[str] = []
         self.now: list[str] = []
         self.gap = False  # an empty line comes before the next text
@@ -316,15 +392,17 @@ class Renderer:
         self.pre = 0
 
     def shown(self, element: Element, parent: Element | None) -> bool:
-        tag, own = element.tag, element.attributes
-        if tag in NEVER_SHOWN or "hidden" in own or ("style" in own and _HIDING.search(own["style"])):
+        """Whether the element takes part in the layout; notes whether its text is visible."""
+        if element.tag in NEVER_SHOWN:
             return False
-        if self.hidden:
-            names = {("", ".", c) for c in own.get("class", "").split()} | {("", "#", own.get("id", ""))}
-            if (tag, "", "") in self.hidden or any(n in self.hidden or (tag, *n[1:]) in self.hidden for n in names):
-                return False
+        said = self.styles.said(element) if self.styles.rules or "style" in element.attributes or "hidden" in element.attributes else {}
+        if said.get("display") == "none":
+            return False
+        visibility = said.get("visibility", "inherit")
+        above = element.parent is None or element.parent.visible is not False
+        element.visible = above if visibility in ("inherit", "unset", "revert") else visibility not in ("hidden", "collapse")
         if parent is not None and parent.tag == "details" and "open" not in parent.attributes:
-            return tag == "summary"
+            return element.tag == "summary"
         return True
 
     # Lines
@@ -371,7 +449,7 @@ class Renderer:
             if kind == "end":
                 self.close(node)
             elif isinstance(node, str):
-                if parent is None or parent.tag != "details" or "open" in parent.attributes:
+                if parent is None or parent.visible is not False and (parent.tag != "details" or "open" in parent.attributes):
                     if parent is None or parent.tag not in _IN_ROWS or node.strip():
                         self.write(node)
             elif self.shown(node, parent):
@@ -379,7 +457,7 @@ class Renderer:
                     self.table(node)
                     continue
                 if node.tag == "select":
-                    self.write(chosen_option(node))
+                    self.write(chosen_option(node) if node.visible else "")
                     continue
                 self.start(node, item)
                 work.append(("end", node, parent, ""))
@@ -393,6 +471,7 @@ class Renderer:
                             mark, number = f"{number}. ", number + 1
                         else:
                             mark = "- "
+                        mark = mark if node.visible is not False else " " * len(mark)
                     children.append(("node", child, node, mark))
                 work += reversed(children)
         self.end_line()
@@ -403,7 +482,7 @@ class Renderer:
         if tag == "br":
             self.end_line(keep=bool(self.lines or self.now))
         elif tag == "input":
-            if element.attributes.get("type", "text").lower() not in ("hidden", "checkbox", "radio", "file", "password", "image"):
+            if element.visible and element.attributes.get("type", "text").lower() not in ("hidden", "checkbox", "radio", "file", "password", "image"):
                 self.write(element.attributes.get("value") or element.attributes.get("placeholder", ""))
         elif tag in BLOCKS:
             self.end_line()
@@ -434,59 +513,83 @@ class Renderer:
         """Rows as lines, their cells padded to the widths of the columns."""
         self.end_line()
         self.gap = True
-        rows: list[list[tuple[str, int]]] = []
-        captions: list[str] = []
-        loose: list[str] = []
+        rows: list[tuple[int, list[tuple[list[str], int, int]]]] = []  # number of the section, cells
+        captions: list[list[str]] = []
+        loose: list[list[str]] = []
+        section = 0
         work: list[tuple[Element | str, Element]] = [(c, element) for c in reversed(element.children)]
         while work:
             node, parent = work.pop()
             if isinstance(node, str):
-                if node.strip():
-                    loose.append(_SPACE.sub(" ", node).strip())
+                if node.strip() and parent.visible is not False:
+                    loose.append([_SPACE.sub(" ", node).strip()])
             elif self.shown(node, parent):
                 if node.tag in ("thead", "tbody", "tfoot"):
+                    section += 1
                     work += [(c, node) for c in reversed(node.children)]
                 elif node.tag == "tr":
-                    rows.append([])
+                    rows.append((section, []))
                     work += [(c, node) for c in reversed(node.children)]
                 elif node.tag in ("td", "th") and rows:
-                    rows[-1].append((self.inner(node), max(1, min(1000, whole(node.attributes.get("colspan"), 1)))))
+                    spans = [whole(node.attributes.get(name), 1) for name in ("colspan", "rowspan")]
+                    rows[-1][1].append((self.inner(node), max(1, min(1000, spans[0])), max(0, spans[1])))
                 elif node.tag == "caption":
                     captions.append(self.inner(node))
                 elif node.tag not in ("col", "colgroup"):
-                    holder = Element("div", {})
+                    holder = Element("div", {}, parent)
                     holder.children.append(node)
                     loose.append(self.inner(holder))
-        for text in [*captions, *loose]:
-            self.put(text)
-            self.end_line()
+        for line in (line for lines in [*captions, *loose] for line in lines):
+            self.now = [line]
+            self.end_line(keep=bool(line))
+        placed = self.placed(rows)
         widths: dict[int, int] = {}
         for wide in (False, True):  # single columns first, then those that span
-            for row in rows:
-                column = 0
-                for text, span in row:
-                    if span == 1 and not wide:
-                        widths[column] = max(widths.get(column, 0), len(text))
-                    elif span > 1 and wide:
-                        have = sum(widths.get(c, 0) for c in range(column, column + span)) + 2 * (span - 1)
-                        last = column + span - 1
-                        widths[last] = widths.get(last, 0) + max(0, len(text) - have)
-                    column += span
-        for row in rows:
-            column, cells = 0, []
-            for text, span in row:
-                cells.append(text.ljust(sum(widths.get(c, 0) for c in range(column, column + span)) + 2 * (span - 1)))
-                column += span
-            line = "  ".join(cells).rstrip()
-            if line:
-                self.now = [line]
-                self.end_line(keep=True)
+            for column, lines, span in (cell for row in placed for cell in row):
+                longest = max(map(len, lines), default=0)
+                if span == 1 and not wide:
+                    widths[column] = max(widths.get(column, 0), longest)
+                elif span > 1 and wide:
+                    have = sum(widths.get(c, 0) for c in range(column, column + span)) + 2 * (span - 1)
+                    last = column + span - 1
+                    widths[last] = widths.get(last, 0) + max(0, longest - have)
+        offsets = [0]
+        for column in range(max((c for row in placed for c, _, _ in row), default=0)):
+            offsets.append(offsets[-1] + widths.get(column, 0) + 2)
+        for row in placed:
+            text = [""] * max((len(lines) for _, lines, _ in row), default=0)
+            for column, lines, _ in row:
+                for i, line in enumerate(lines):
+                    if line:
+                        text[i] = text[i].ljust(offsets[column]) + line
+            if any(text):
+                for line in text:
+                    self.now = [line]
+                    self.end_line(keep=True)
         self.gap = True
 
-    def inner(self, element: Element) -> str:
-        """The text of a cell on one line."""
-        text = Renderer(self.hidden, self.depth + 1).render(element)
-        return _SPACE.sub(" ", text).strip()
+    def placed(self, rows: list[tuple[int, list[tuple[list[str], int, int]]]]) -> list[list[tuple[int, list[str], int]]]:
+        """(column, lines, span) of the cells of each row; cells of earlier rows of the section hold on to their columns."""
+        out, held, now = [], {}, None
+        for section, cells in rows:
+            if section != now:
+                held, now = {}, section
+            column, row, next_held = 0, [], {c: left - 1 for c, left in held.items() if left > 1}
+            for lines, span, high in cells:
+                while column in held:
+                    column += 1
+                row.append((column, lines, span))
+                if high != 1:
+                    next_held.update(dict.fromkeys(range(column, column + span), high - 1 if high else 1 << 30))
+                column += span
+            out.append(row)
+            held = next_held
+        return out
+
+    def inner(self, element: Element) -> list[str]:
+        """The lines of a cell; a single one without more than one space in a row."""
+        lines = Renderer(self.styles, self.depth + 1).render(element).split("\n")
+        return [_SPACE.sub(" ", lines[0]).strip()] if len(lines) == 1 else lines
 
 
 def whole(raw: str | None, default: int) -> int:
@@ -512,7 +615,7 @@ def chosen_option(element: Element) -> str:
 
 
 def text_of(page: str) -> str:
-    return Renderer(hidden_selectors(page)).render(TreeBuilder().build(page))
+    return Renderer(Styles(page)).render(TreeBuilder().build(page))
 
 
 def visible_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:

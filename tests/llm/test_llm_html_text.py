@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from llm_cases import clashing, frame
 
@@ -86,3 +88,72 @@ def test_rows(spark):
     got = sorted(((r["page_id"], r["text"]) for r in visible_text(clashing(pages)).collect()), key=repr)
     assert got == sorted([(1, "a"), (1, "a"), (2, ""), (3, ""), (None, "x")], key=repr)
     assert visible_text(frame(spark, [], "page_id long, html string")).collect() == []
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<map><p>visible</p></map>", "visible"),
+        ("<style>.ad{display:none}</style><p class=ad style=\"display:block\">a", "a"),
+        ("<style>p{display:none} .show{display:block}</style><p class=show>a<p>b", "a"),
+        ("<style>.show{display:block} p{display:none}</style><p class=show>a<p>b", "a"),
+        ("<style>.a{display:block} .b{display:none}</style><p class='a b'>h<p class=a>a", "a"),
+        ("<p style=\"display:none;display:block\">a", "a"),
+        ("<div style=\"visibility:hidden\">x<span style=\"visibility:visible\">a</span>y</div>", "a"),
+        ("<div hidden style=\"display:block\">a</div><p hidden>b", "a"),
+        ("<style>div .x{display:none}</style><div><b><i class=x>h</i></b>a</div><i class=x>b</i>", "a\nb"),
+        ("<style>div b .x{display:none}</style><div><u><i class=x>a</i></u><b><b><i class=x>h</i></b></b></div>", "a"),
+        ("<style>div > b .x{display:none}</style><div><u><b><i class=x>a</i></b></u><b><u><i class=x>h</i></u></b></div>", "a"),
+        ("<style>ul > li{display:none}</style><ul><li>h</ul><ol><li>a</ol>", "1. a"),
+        ("<style>#a{display:none!important}</style><p id=a style=\"display:block\">h<p>b", "b"),
+        ("<style>p:hover, p[x], p ~ p {display:none}</style><p>a<p x>b", "a\n\nb"),
+        ("<style>* {visibility:hidden} b {visibility:visible}</style><p>h<b>a</b>", "a"),
+        ("<table><tr><td>one<br>two<td>three<tr><td>4<td>5</table>", "one  three\ntwo\n4    5"),
+        ("<table><tr><td rowspan=2>tall<td>a<tr><td>b<tr><td>c<td>d</table>", "tall  a\n      b\nc     d"),
+        ("<table><tr><td>x<td rowspan=0>all<td>y<tr><td>z<td>w</table>", "x  all  y\nz       w"),
+        ("<table><tr><td><ul><li>a<li>b</ul><td>c</table>", "- a  c\n- b"),
+        ("<table><tr><td><p>first</p><p>second</p></table>", "first\n\nsecond"),
+        ("<table><tr><td><pre>a  b\n c</pre><td>d</table>", "a  b  d\n c"),
+    ],
+)
+def test_styles_and_cells(page, text):
+    assert text_of(page) == text
+
+
+def test_visible_words_against_a_plain_implementation():
+    """Random trees: which words are shown, by recursion over display and visibility."""
+    pick = random.Random(8)
+    styles = "<style>.n{display:none} .b{display:block} .h{visibility:hidden} .v{visibility:visible} i.n{display:inline} div div .k{display:none}</style>"
+    count = 0
+
+    def make(depth, shown, sees, above):
+        nonlocal count
+        out, words = [], []
+        for _ in range(pick.randrange(4)):
+            if depth == 0 or pick.random() < 0.4:
+                count += 1
+                out.append(f" w{count} ")
+                words += [f"w{count}"] if shown and sees else []
+                continue
+            tag, kinds = pick.choice(["div", "i", "section", "ul"]), pick.sample("nbhvk", pick.randrange(3))
+            inline, display, visibility = "", None, None
+            for kind, value in (("n", "none"), ("b", "block")):
+                display = value if kind in kinds else display
+            display = "inline" if tag == "i" and "n" in kinds else display
+            for kind, value in (("h", "hidden"), ("v", "visible")):
+                visibility = value if kind in kinds else visibility
+            if "k" in kinds and above.count("div") >= 2:
+                display = "none"
+            if pick.random() < 0.3:
+                name, value = pick.choice([("display", "none"), ("display", "block"), ("visibility", "hidden"), ("visibility", "visible"), ("visibility", "inherit")])
+                inline = f' style="color:red; {name}: {value}"'
+                display, visibility = (value, visibility) if name == "display" else (display, None if value == "inherit" else value)
+            now = sees if visibility is None else visibility == "visible"
+            inner, found = make(depth - 1, shown and display != "none", now, [*above, tag])
+            out.append(f'<{tag} class="{" ".join(kinds)}"{inline}>{inner}</{tag}>')
+            words += found
+        return "".join(out), words
+
+    for _ in range(300):
+        page, words = make(5, True, True, [])
+        assert text_of(styles + page).replace("- ", " ").split() == words, page
