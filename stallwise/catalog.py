@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from stallwise import fixed_values as V
 from stallwise.operators import clean as C
 from stallwise.operators import contract
+from stallwise.operators import wide_stats as W
 from stallwise.operators.measures import MEASURES, measures
 from stallwise.operators.quality import null_profile
 from stallwise.operators.segments import lift
@@ -135,6 +136,26 @@ def _loaded_rows(version: int) -> Query:
     return lambda spark, sf_dir: store.clean_of(_loaded_in_batches(spark, sf_dir).rows(version))
 
 
+def _net_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """City, net price and quantity of each order line: prices nearly all differ."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_suppkey", "l_quantity", "l_extendedprice", "l_discount")
+    suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey", "s_nationkey")
+    nations = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", "n_name")
+    joined = lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")).join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
+    price = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    return joined.select(F.col("n_name").alias("city"), price.alias("net_price"), F.col("l_quantity").alias("quantity"))
+
+
+def _price_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = W.quantiles_by(_net_prices(spark, sf_dir), "city", "net_price", [0.25, 0.5, 0.75])
+    return found.withColumn("quantile", F.round("quantile", 6))
+
+
+def _price_rank_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = W.spearman(_net_prices(spark, sf_dir), "net_price", "quantity", range_values=20_000)
+    return found.withColumn("spearman", F.round("spearman", 9))
+
+
 _view_states: dict[tuple[str, str], view_state.ViewState] = {}
 
 
@@ -243,6 +264,8 @@ def queries() -> dict[str, Query]:
         "e09a_gold_share": _on_clean(E.e09_gold_share),
         "e09b_gold_top": _on_clean(E.e09_gold_top),
         "e10_city_score": _on_clean(E.e10_city_score),
+        "e11_price_quartiles_by_city": _price_quartiles,
+        "e12_price_rank_correlation": _price_rank_correlation,
         # Views (the id of the enriched view is checked by warehouse_ids)
         "vw1_listings_enriched": _on_enriched(lambda enriched: enriched),
         "vw2_city_summary": _on_warehouse(views.city_summary),

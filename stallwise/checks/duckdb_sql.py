@@ -552,5 +552,25 @@ def _views() -> dict[str, str]:
     }
 
 
+_NET_PRICES = """
+net AS (
+  SELECT n_name AS city, l_extendedprice * (1 - l_discount) AS net_price, l_quantity AS quantity
+  FROM lineitem, supplier, nation WHERE s_suppkey = l_suppkey AND n_nationkey = s_nationkey)
+"""
+
+
+def _unbounded() -> dict[str, str]:
+    shares = " UNION ALL ".join(
+        f"SELECT city, CAST({s} AS DOUBLE) AS share, round(quantile_cont(net_price, {s}), 6) AS quantile, count(*) AS rows "
+        "FROM net GROUP BY city" for s in (0.25, 0.5, 0.75))
+    rank = "rank() OVER (ORDER BY {0}) + (count(*) OVER (PARTITION BY {0}) - 1) / 2.0"
+    return {
+        "e11_price_quartiles_by_city": f"WITH {_NET_PRICES} {shares}",
+        "e12_price_rank_correlation": f"WITH {_NET_PRICES}, ranked AS (SELECT {rank.format('net_price')} AS a, "
+                                      f"{rank.format('quantity')} AS b FROM net) "
+                                      "SELECT count(*) AS pairs, round(corr(a, b), 9) AS spearman FROM ranked",
+    }
+
+
 def statements() -> dict[str, str]:
-    return _quality() | _business() | _exploration() | _views()
+    return _quality() | _business() | _exploration() | _views() | _unbounded()
