@@ -12,7 +12,9 @@ match, so the ids of the pieces are the ids of the whole:
 What is left is one match of the pattern. If even that is very long, it is
 merged on its own, without the pattern.
 
-Defined cases: null counts as empty, and empty texts have no ids.
+Defined cases: null counts as empty, and empty texts have no ids; every input row
+gives one, also those that repeat an id or have none; an empty table gives no
+rows; extra columns are ignored.
 """
 
 import base64

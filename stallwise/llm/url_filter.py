@@ -5,11 +5,15 @@ the path of the rule; the rule with the longest text wins. URLs that no rule
 fits go to a logistic regression on hashed character n-grams of host and path,
 trained on a small labelled table of URLs.
 
+Only URLs without a rule are sent to Python, where the n-grams of a whole batch
+are hashed as arrays.
+
 Defined cases: a null URL or one without `://` has an empty host and path and is
-judged by the model like any other.
+judged by the model like any other; every input row gives one, also those that
+repeat an id or have none; an empty table gives no rows; extra columns are
+ignored. Very long URLs are read whole.
 """
 
-import zlib
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -27,8 +31,54 @@ RULES = [
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 ]
-#: Labelled URLs: 1 is unwanted.
-LABELLED = [(1, f"{host}/{path}") for host in ("cheap-pills.example.net", "win.casino7.example", "xxx.adult-cams.example", "ads.tracker9.example", "free-money.lotto.example") for path in ("buy/now?id=1", "bonus/1", "click/offer", "promo/spin-win", "login/verify-account", "track?utm_source=spam")] + [(0, f"{host}/{path}") for host in ("www.city-library.example.net", "news.daily.example.com", "docs.project.example.org", "blog.garden.example.net", "university.example.edu", "m.museum.example.com") for path in ("en/12034", "fr/recette/341.html", "de/artikel/992", "es/noticias/77", "article/history-of-tea", "docs/install.html")]
+#: Fixed values, invented: parts of the labelled URLs. Each host is labelled with each path of its kind.
+UNWANTED = {
+    "hosts": [
+        "cheap-pills.example.net",
+        "win.casino7.example",
+        "xxx.adult-cams.example",
+        "ads.tracker9.example",
+        "free-money.lotto.example",
+        "hot-singles.dating.example",
+        "replica-watches.shop.example",
+        "crack-serial.warez.example",
+    ],
+    "paths": [
+        "/buy/now?id=1",
+        "/bonus/1",
+        "/click/offer",
+        "/promo/spin-win",
+        "/login/verify-account",
+        "/track?utm_source=spam",
+        "/download/keygen.exe",
+        "/xxx/free-cams",
+    ],
+}
+WANTED = {
+    "hosts": [
+        "www.city-library.example.net",
+        "news.daily.example.com",
+        "docs.project.example.org",
+        "blog.garden.example.net",
+        "university.example.edu",
+        "m.museum.example.com",
+        "forum.cycling.example.net",
+        "weather.region.example",
+    ],
+    "paths": [
+        "/en/12034",
+        "/fr/recette/341.html",
+        "/de/artikel/992",
+        "/es/noticias/77",
+        "/article/history-of-tea",
+        "/docs/install.html",
+        "/2021/05/a-day-at-the-lake",
+        "/questions/5512/how-to",
+    ],
+}
+#: (label, host and path): 1 is unwanted.
+LABELLED = [(label, host + path) for label, kind in ((1, UNWANTED), (0, WANTED)) for host in kind["hosts"] for path in kind["paths"]]
+BITS, ORDERS = 16, (2, 3, 4)
 
 
 def host_of(url: Column) -> Column:
@@ -53,17 +103,32 @@ def by_length(rules: Sequence[tuple[str, str, str]]) -> list[tuple[str, str, str
     return sorted(rules, key=lambda r: (-len(r[1] + r[2]), r))
 
 
-def features(text: str, bits: int = 16, orders: Sequence[int] = (2, 3, 4)) -> np.ndarray:
-    """Places of the hashed character n-grams of a text; its ends are marked."""
-    raw = f"^{text}$".encode()
-    grams = {zlib.crc32(raw[i : i + n]) & ((1 << bits) - 1) for n in orders for i in range(len(raw) - n + 1)}
-    return np.fromiter(grams, dtype=np.int64)
-
-
-def train(labelled: Sequence[tuple[int, str]] = LABELLED, bits: int = 16, epochs: int = 40, rate: float = 0.5, decay: float = 1e-3):
-    """Weights and bias by gradient steps over the labelled URLs, in a fixed order."""
+def features(texts: Sequence[str], bits: int = BITS, orders: Sequence[int] = ORDERS) -> tuple[np.ndarray, np.ndarray]:
+    """(text, place) of the distinct hashed character n-grams of some texts; their ends are marked."""
+    raws = [f"^{text}$".encode() for text in texts]
+    data = np.frombuffer(b"".join(raws), np.uint8).astype(np.uint64)
+    owner = np.repeat(np.arange(len(raws)), [len(raw) for raw in raws])
+    found = []
+    for n in orders:
+        if len(data) < n:
+            continue
+        packed = np.full(len(data) - n + 1, n, np.uint64)
+        for k in range(n):
+            packed = packed << np.uint64(8) | data[k : len(data) - n + 1 + k]
+        inside = owner[: len(packed)] == owner[n - 1 :]
+        place = common.mix(packed[inside]) & np.uint64((1 << bits) - 1)
+        found.append(owner[: len(packed)][inside].astype(np.uint64) << np.uint64(bits) | place)
+    distinct = np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+    return (distinct >> np.uint64(bits)).astype(np.int64), (distinct & np.uint64((1 << bits) - 1)).astype(np.int64)
+
+
+def train(labelled: Sequence[tuple[int, str]] = LABELLED, bits: int = BITS, epochs: int = 40, rate: float = 0.5, decay: float = 1e-3) -> tuple[np.ndarray, float]:
+    """Weights and bias by gradient steps over the labelled URLs, one of each kind in turn."""
     weights, bias = np.zeros(1 << bits), 0.0
-    rows = [(label, features(text, bits)) for label, text in labelled]
+    sides = [[text for label, text in labelled if label == y] for y in (1, 0)]
+    most = max(map(len, sides))
+    turns = [(1 - y, side[i * len(side) // most]) for i in range(most) for y, side in enumerate(sides) if side]
+    rows = [(label, features([text], bits)[1]) for label, text in turns]
     for _ in range(epochs):
         for label, at in rows:
             scale = 1 / np.sqrt(max(1, len(at)))
@@ -73,9 +138,12 @@ def train(labelled: Sequence[tuple[int, str]] = LABELLED, bits: int = 16, epochs
     return weights.astype(np.float32), float(bias)
 
 
-def scored(weights: np.ndarray, bias: float, text: str, bits: int = 16) -> float:
-    at = features(text, bits)
-    return float(1 / (1 + np.exp(-(weights[at].sum() / np.sqrt(max(1, len(at))) + bias))))
+def scored(weights: np.ndarray, bias: float, texts: Sequence[str], bits: int = BITS) -> np.ndarray:
+    """The score of each text: 0 to 1, higher is likelier unwanted."""
+    owner, place = features(texts, bits)
+    sums = np.bincount(owner, weights[place], len(texts))
+    many = np.bincount(owner, minlength=len(texts))
+    return 1 / (1 + np.exp(-(sums / np.sqrt(np.maximum(many, 1)) + bias)))
 
 
 def judged(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, labelled=LABELLED, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -85,18 +153,23 @@ def judged(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, labe
     rows = pages.select(common.column(id_col).alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
     rows = rows.withColumn("rule_at", rule_of(F.col("host"), F.col("path"), rules))
     ordered = by_length(rules)
+    kind = dict(rows.dtypes)["page_id"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hosts, paths = batch.column("host").to_pylist(), batch.column("path").to_pylist()
-            at = batch.column("rule_at").to_pylist()
-            scores = [None if i is not None else scored(weights, bias, h + p) for i, h, p in zip(at, hosts, paths)]
-            verdicts = [ordered[i][0] if i is not None else "block" if s >= 0.5 else "allow" for i, s in zip(at, scores)]
-            texts = [ordered[i][1] + ordered[i][2] if i is not None else None for i in at]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), batch.column("host"), batch.column("path"), pa.array(texts, pa.string()), pa.array(verdicts, pa.string()), pa.array(scores, pa.float64())],
-                names=["page_id", "host", "path", "rule", "verdict", "score"],
-            )
-
-    kind = dict(rows.dtypes)["page_id"]
-    return rows.mapInArrow(run, f"page_id {kind}, host string, path string, rule string, verdict string, score double")
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                batch = whole.slice(at, 1000)
+                texts = [h + p for h, p in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist())]
+                columns = [*batch.columns, pa.array(scored(weights, bias, texts), pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["page_id", "host", "path", "score"])
+
+    def of_rule(part) -> Column:
+        named = [F.when(F.col("rule_at") == i, F.lit(part(rule))) for i, rule in enumerate(ordered)]
+        return F.coalesce(*named, F.lit(None).cast("string"))
+
+    ruled = rows.filter("rule_at IS NOT NULL").select(
+        "page_id", "host", "path", of_rule(lambda r: r[1] + r[2]).alias("rule"), of_rule(lambda r: r[0]).alias("verdict"), F.lit(None).cast("double").alias("score")
+    )
+    others = rows.filter("rule_at IS NULL").drop("rule_at").mapInArrow(run, f"page_id {kind}, host string, path string, score double")
+    verdict = F.when(F.col("score") >= 0.5, "block").otherwise("allow").alias("verdict")
+    return ruled.unionByName(others.select("page_id", "host", "path", F.lit(None).cast("string").alias("rule"), verdict, "score"))
