@@ -2,6 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir) and returns documents with the same
 columns, the last one their token ids. Its result is written and read again.
+
+Defined cases: null texts count as empty, and one document of all empty ones is
+left; rows that repeat an id stay or go by their texts, all rows of an id that
+wins among equal texts stay; a null id loses to any other; without labels of both
+kinds no document is toxic; a benchmark item of fewer than ten words counts as a
+whole, null ones as nothing; empty tables give empty results; extra columns of
+any name are carried to the last stage, which returns its own.
 """
 
 import sys
