@@ -4,7 +4,7 @@ from pathlib import Path
 import duckdb
 import pytest
 from conftest import SMALL
-from llm_cases import rows_of
+from llm_cases import DOCUMENTS, clashing, frame, odd_rows, rows_of
 
 import __spark_entry__
 import corpus_pipeline
@@ -41,6 +41,31 @@ def test_nothing_else_imports_this_folder():
             assert not re.search(r"stallwise\.llm|from \.*llm", file.read_text()), file
 
 
+def test_pipeline_stages_on_odd_rows(spark, tmp_path):
+    """Nulls, repeated rows and ids, ties, long and empty texts, extra columns of clashing names, empty tables."""
+    rows = [(i, t, None if k % 3 else "en", None if k % 2 else "s", k) for k, (i, t) in enumerate(odd_rows())]
+    docs = clashing(frame(spark, rows, DOCUMENTS))
+    tables = {
+        "labels": frame(spark, [(5, 1, 0), (9, 0, None), (11, None, 0), (None, 1, 1), (5, 0, 0)], "doc_id long, quality int, toxic int"),
+        "benchmark": frame(spark, [("a", None), (None, "short"), ("b", "nothing of these words is in any document at all here")], "item_id string, text string"),
+    }
+    for name, table in tables.items():
+        table.write.parquet(str(tmp_path / f"{name}.parquet"))
+    now, kept = docs, []
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        now = corpus_pipeline.common.stored(stage(spark, now, str(tmp_path)), f"odd-{name}")
+        kept.append(sorted({r["doc_id"] for r in now.collect()}, key=repr))
+        assert k == 4 or now.columns == docs.columns
+    # Without a toxic label that is learned from, nothing goes; of equal texts the largest id stays, with all its rows; of
+    # near copies the smallest; "short" is a benchmark item of one word.
+    assert kept[0] == sorted({i for i, _ in odd_rows()}, key=repr)
+    assert set(kept[1]) == {2, 3, 4, 7, 8, 9, 10, 11} and set(kept[2]) == {2, 3, 4, 7, 9, 10, 11}
+    assert {2, 3, 4, 7, 10, 11} <= set(kept[3]) <= set(kept[2]) and kept[4] == kept[3]
+    empty = docs.filter("1 = 0")
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, str(tmp_path)).collect() == []
+
+
 def test_pipeline_against_brute_force(spark):
     """Each stage's result against the plain definition, on its own input."""
     docs = corpus_pipeline.common.documents(spark, SMALL)
