@@ -134,3 +134,14 @@ def test_binding_counts(spark):
     raw = raw_listings(spark, SMALL)
     assert raw.schema.names == schema.RAW.names
     assert (raw.count(), clean_listings(raw).count()) == (6115, 6000)
+
+
+def test_lines_of_one_row_group_become_listings_in_many_tasks(spark):
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        raw = raw_listings(spark, SMALL)
+        per_task = [r["count"] for r in raw.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert len(per_task) == 4 and max(per_task) < 2 * min(per_task)
