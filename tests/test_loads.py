@@ -114,3 +114,19 @@ def test_two_writers_cannot_make_one_version(spark, raw, tmp_path, monkeypatch):
     monkeypatch.undo()
     assert [load.name for load in table.version().loads] == ["a", "b"]
     assert isinstance(store.task_starts(table.rows()).count(), int)
+
+
+def test_a_first_load_is_not_staged_and_whole_rows_are_compared_without_grouping_them(spark, raw, tmp_path):
+    parts = batches(raw)
+    table = loads.LoadedListings(spark, str(tmp_path / "t"), buckets=4)
+    table.append("a", parts[0])
+    assert not (tmp_path / "t" / "staged").exists()
+    staged = str(tmp_path / "unique")
+    table.unique_rows(parts[2]).write.parquet(staged)
+    plan = table.new_rows(spark.read.parquet(staged), table.version())._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "Aggregate" not in plan
+    # Nulls, not-a-number and zeros with a sign equal themselves.
+    odd = raw({"offer_count": None, "area": None}, {"offer_count": float("nan")}, {"offer_count": 0.0})
+    again = raw({"offer_count": None, "area": None}, {"offer_count": float("nan")}, {"offer_count": -0.0}, {"offer_count": None})
+    table.append("odd", odd)
+    assert table.append("again", again).loads[-1].rows == 1
