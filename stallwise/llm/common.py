@@ -14,6 +14,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -118,6 +119,8 @@ def filter_texts(docs: DataFrame, keep: Callable[[Iterable[pa.RecordBatch]], Ite
     their rows, in order, as many at a time as it likes.
     """
     names = docs.columns
+    # A text column is sent once, not as itself and as a text.
+    own = names.index(text_col) if (text_col, "string") in docs.dtypes else len(names)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: deque[pa.RecordBatch] = deque()
@@ -126,7 +129,7 @@ def filter_texts(docs: DataFrame, keep: Callable[[Iterable[pa.RecordBatch]], Ite
         def texts() -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 waiting.append(batch)
-                yield pa.RecordBatch.from_arrays([batch.column(len(names))], names=["text"])
+                yield pa.RecordBatch.from_arrays([pc.fill_null(batch.column(own), "")], names=["text"])
 
         for decisions in keep(texts()):
             decided += decisions
@@ -137,7 +140,8 @@ def filter_texts(docs: DataFrame, keep: Callable[[Iterable[pa.RecordBatch]], Ite
                 yield pa.RecordBatch.from_arrays(batch.columns[: len(names)], names=names).filter(mask)
 
     text = F.coalesce(column(text_col).cast("string"), F.lit(""))
-    return docs.withColumn(fresh("_text", docs), text).mapInArrow(run, docs.schema)
+    sent = docs if own < len(names) else docs.withColumn(fresh("_text", docs), text)
+    return sent.mapInArrow(run, docs.schema)
 
 
 def byte_texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
@@ -152,8 +156,7 @@ def shards(batches: Iterable[pa.RecordBatch], most_bytes: int) -> Iterator[pa.Re
     for batch in batches:
         start = 0
         at = batch.schema.get_field_index("text")
-        lengths = np.array([len(x) for x in batch.column(at).cast(pa.large_binary()).to_pylist()], dtype=np.int64)
-        for i, n in enumerate(lengths.tolist()):
+        for i, n in enumerate(pc.binary_length(batch.column(at).cast(pa.large_binary())).to_pylist()):
             if size and size + n > most_bytes:
                 if i > start:
                     held.append(batch.slice(start, i - start))

@@ -35,7 +35,7 @@ from stallwise.llm import common
 WINDOW = 10
 #: Benchmark text that is searched for (and sent to the executors) at once.
 BLOCK_BYTES = 2 * 1024 * 1024
-SHARD_BYTES = 4 * 1024 * 1024
+SHARD_BYTES = 1024 * 1024
 
 _WORD_BYTES = bytes(b if b in common.LOWER.encode() + b"0123456789" or b > 127 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 
@@ -170,9 +170,9 @@ def occurrences(numbers: list[np.ndarray], windows: Windows) -> Iterator[tuple[i
 
 def hits(raws: list[bytes], windows: Windows) -> tuple[list[int], list[list[tuple[int, int]]], list[set[str]]]:
     """Of each text: its number of words, its merged spans of hit words, the items with windows in it."""
-    lists = [words(raw) for raw in raws]
-    numbers = [np.fromiter(map(windows.numbers.get, x, repeat(0)), np.int64, len(x)) for x in lists]
-    lengths = np.array([len(x) + 1 for x in lists], dtype=np.int64)
+    # The words of one text at a time.
+    numbers = [np.fromiter(map(windows.numbers.get, x, repeat(0)), np.int64, len(x)) for x in map(words, raws)]
+    lengths = np.array([len(x) + 1 for x in numbers], dtype=np.int64)
     begins = np.cumsum(lengths) - lengths
     change = np.zeros(int(lengths.sum()) + 1, np.int64)
     found: list[set[str]] = [set() for _ in raws]
@@ -188,7 +188,7 @@ def hits(raws: list[bytes], windows: Windows) -> tuple[list[int], list[list[tupl
     for start, end in zip(edges[::2].tolist(), edges[1::2].tolist()):
         document = int(np.searchsorted(begins, start, side="right")) - 1
         spans[document].append((start - int(begins[document]), end - int(begins[document])))
-    return [len(x) for x in lists], spans, found
+    return [len(x) for x in numbers], spans, found
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

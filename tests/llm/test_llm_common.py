@@ -32,3 +32,16 @@ def test_shards_hold_whole_rows_in_order():
     assert [len(t) for s in shards for t in s] == [1, 2, 50, 1, 3, 3, 3, 100]
     assert all(len(s) == 1 or sum(map(len, s)) <= 6 for s in shards)
     assert list(common.shards([], 6)) == []
+
+
+def test_filters_send_a_text_once_and_judge_nulls_as_empty(spark):
+    def short(batches):
+        for batch in batches:
+            yield [len(t) < 2 for t in batch.column("text").to_pylist()]
+
+    docs = frame(spark, [(1, "a"), (2, None), (3, "abc")], "id long, text string")
+    kept = common.filter_texts(docs, short)
+    assert rows_of(kept) == [(1, "a"), (2, None)] and kept.schema == docs.schema
+    assert "_text" not in kept._jdf.queryExecution().optimizedPlan().toString()
+    numbers = frame(spark, [(1, 7), (2, None), (3, 700)], "id long, text long")
+    assert rows_of(common.filter_texts(numbers, short)) == [(1, 7), (2, None)]

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -79,3 +80,16 @@ def test_empty_tables(spark):
     none = frame(spark, [], "item_id long, text string")
     assert all(r["n_hit"] == 0 and not r["contaminated"] for r in D.digests(D.contamination(frame(spark, odd_rows()), none)).collect())
     assert D.contamination(frame(spark, []), none).collect() == []
+
+
+def test_a_shard_is_searched_without_holding_the_words_of_all_its_texts():
+    windows = D.Windows([("i", b" ".join(b"bench%d" % i for i in range(12)))])
+    texts = [b" ".join(b"w%d" % (i * j % 977) for i in range(4000)) for j in range(1, 60)]
+    tracemalloc.start()
+    try:
+        counts, spans, _ = D.hits(texts, windows)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert counts == [4000] * 59 and not any(spans)
+    assert peak < 9 * sum(map(len, texts))
