@@ -58,6 +58,9 @@ SHORT = 6
 JOINED = 0.0
 LANDMARKS, ROUNDS, MINED = 256, 4, 1_000
 FLOOR, LEVELS = -3.0, (-1.5, -1.0, -0.5, 0.0, 0.5)
+#: A document's score takes its highest decisions, and those above the least level. Words below this decision,
+#: which a bound shows of most, are therefore measured only for documents with fewer than `HIGHEST` others.
+HIGHEST, CLOSE = 5, -2.0
 
 _CODES = 64
 _EDGE = 27
@@ -218,15 +221,15 @@ class Model:
     bias: float
     document: np.ndarray
 
-    def values(self, words: Sequence[str]) -> np.ndarray:
-        """The decision for each word, the largest over its parts."""
-        parts = [_parts(w) for w in words]
-        flat = [p for own in parts for p in own]
-        if not flat:
-            return np.zeros(0, np.float32)
-        starts = np.cumsum([0, *map(len, parts)])[:-1]
-        values = folded_values(flat, self.weights, FLOOR - self.bias) + self.bias
-        return np.maximum.reduceat(np.maximum(values, FLOOR), starts)
+    def values(self, words: Sequence[str], least: float = FLOOR) -> np.ndarray:
+        """The decision for each word, the largest over its parts: at least FLOOR, and -inf where it is below a higher `least`."""
+        stripped = [w.strip(_STRIP) for w in words]
+        others = [(i, p) for i, w in enumerate(stripped) if len(w) > LONGEST for p in _parts(w)[1:]]
+        units = [w[:LONGEST] for w in stripped] + [p for _, p in others]
+        values = folded_values(units, self.weights, least - self.bias) + self.bias
+        out = values[: len(words)]
+        np.maximum.at(out, np.array([i for i, _ in others], np.intp), values[len(words) :])
+        return out if least > FLOOR else np.maximum(out, FLOOR)
 
     def joined(self, units: Sequence[str]) -> dict[str, float]:
         """The decisions of those joined neighbours that come close to one."""
@@ -243,44 +246,61 @@ class Model:
         split = [text.split() for text in lowered]
         words = list(map(words_of, lowered, split))
         new = list(set().union(*words).difference(known.words))
-        known.words.update(zip(new, self.values(new).tolist()))
-        joined = list(map(joined_of, split))
-        new = list(set().union(*joined).difference(known.judged))
+        known.add(new, self.values(new, CLOSE))
+        units, owners = neighbours(split)
+        new = list(set(units).difference(known.judged))
         known.judged.update(new)
         known.joined.update(self.joined(new))
+        joined: list[dict[str, float]] = [{} for _ in texts]
+        for i in [i for i, unit in enumerate(units) if unit in known.joined]:
+            if units[i] not in words[owners[i]]:
+                joined[owners[i]][units[i]] = known.joined[units[i]]
+        close = [known.close.keys() & own for own in words]
+        few = [len(c) < len(own) and len(c) + len(j) < HIGHEST for own, c, j in zip(words, close, joined)]
+        low = list(set().union(*[own - c for own, c, f in zip(words, close, few) if f]))
+        measured = dict(zip(low, self.values(low).tolist()))
         found = []
-        for own, pairs in zip(words, joined):
-            values = np.fromiter(map(known.words.__getitem__, own), float, len(own))
-            close = [known.joined[u] for u in pairs if u in known.joined and u not in own]
-            found.append(evidence(values, np.array(close, float)))
+        for own, c, j, f in zip(words, close, joined, few):
+            values = [*[known.close[w] for w in c], *j.values(), *([measured[w] for w in own - c] if f else [])]
+            found.append(evidence(values, len(own)))
         known.trim()
         return (1 / (1 + np.exp(-np.clip(np.array(found) @ self.document, -30, 30)))).tolist()
 
 
 class Known:
-    """What a task has judged: words, joined neighbours, and those of the latter that count. Bounded: the oldest half goes."""
+    """What a task has judged: words and joined neighbours, and those of both that are close to a decision. Bounded: the oldest half goes."""
 
     def __init__(self, most: int = 250_000) -> None:
         self.most = most
         self.words: dict[str, float] = {}
+        self.close: dict[str, float] = {}
         self.judged: set[str] = set()
         self.joined: dict[str, float] = {}
 
+    def add(self, words: Sequence[str], values: np.ndarray) -> None:
+        """Words with their decisions, -inf for those below CLOSE."""
+        self.words.update(zip(words, values.tolist()))
+        self.close.update((words[i], float(values[i])) for i in np.flatnonzero(values >= CLOSE))
+
     def trim(self) -> None:
         if len(self.words) > self.most:
             self.words = dict(islice(self.words.items(), self.most // 2, None))
+            self.close = {w: value for w, value in self.words.items() if value >= CLOSE}
         if len(self.judged) > self.most:
             self.judged, self.joined = set(), {}
 
 
-def evidence(words: np.ndarray, joined: np.ndarray) -> np.ndarray:
-    """What the decisions on a document's words come to: the highest ones, and how many reach each level."""
-    values = np.concatenate([words, joined])
-    top = np.full(5, FLOOR)
-    highest = np.sort(values)[::-1][:5]
+def evidence(values: Sequence[float], words: int) -> np.ndarray:
+    """What the decisions on a document's words come to: the highest ones, and how many reach each level.
+
+    Of decisions below the levels only the `HIGHEST` highest of all are needed. `words` counts all words.
+    """
+    values = np.array(values, float)
+    top = np.full(HIGHEST, FLOOR)
+    highest = np.sort(values)[::-1][:HIGHEST]
     top[: len(highest)] = highest
-    reach = [np.log1p((values > level).sum()) for level in LEVELS]
-    return np.array([top[0], top[1], top[2], top[4], *reach, np.log1p(len(words)) / 5, 1.0])
+    reach = np.log1p((values[:, None] > LEVELS).sum(axis=0))
+    return np.array([top[0], top[1], top[2], top[4], *reach, np.log1p(words) / 5, 1.0])
 
 
 def words_of(lowered: str, split: Sequence[str]) -> set[str]:
@@ -290,14 +310,23 @@ def words_of(lowered: str, split: Sequence[str]) -> set[str]:
     return words
 
 
+def neighbours(split: Sequence[Sequence[str]]) -> tuple[list[str], np.ndarray]:
+    """Two short neighbours, or three very short ones, joined: wherever the texts' words have them, and in which text."""
+    flat = [word for words in split for word in (*words, "")]
+    lengths = np.fromiter(map(len, flat), np.int64, len(flat))
+    owner = np.repeat(np.arange(len(split)), [len(words) + 1 for words in split])
+    units, places = [], []
+    for many, most in ((2, SHORT), (3, SHORT // 2)):
+        short = (lengths > 0) & (lengths <= most)
+        at = np.flatnonzero(np.logical_and.reduce([short[k : len(short) - many + 1 + k] for k in range(many)]))
+        units += map("".join, zip(*[[flat[i] for i in (at + k).tolist()] for k in range(many)]))
+        places.append(at)
+    return units, owner[np.concatenate(places)]
+
+
 def joined_of(words: Sequence[str]) -> set[str]:
-    """Two short neighbours, or three very short ones, joined."""
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
-    short = lengths <= SHORT
-    joined = {words[i] + words[i + 1] for i in np.flatnonzero(short[1:] & short[:-1]).tolist()}
-    short = lengths <= SHORT // 2
-    joined.update(words[i] + words[i + 1] + words[i + 2] for i in np.flatnonzero(short[2:] & short[1:-1] & short[:-2]).tolist())
-    return joined
+    """Two short neighbours of a text's words, or three very short ones, joined."""
+    return set(neighbours([words])[0])
 
 
 def _machine(features: np.ndarray, labels: np.ndarray, weight: np.ndarray, ridge: float = 1e-2) -> tuple[np.ndarray, float]:
@@ -390,7 +419,7 @@ def train(sample: Sequence[tuple[str, int]]) -> Model:
         new = list(words.difference(known.words))
         known.words.update(zip(new, model.values(new).tolist()))
         close = model.joined(sorted(joined - words))
-        rows.append(evidence(np.fromiter(map(known.words.__getitem__, words), float, len(words)), np.array(list(close.values()), float)))
+        rows.append(evidence([*map(known.words.__getitem__, words), *close.values()], len(words)))
     rows = np.array(rows)
     labels = np.repeat([0.0, 1.0], [len(side) for side in judging])
     return Model(model.weights, model.bias, _logistic(rows, labels))

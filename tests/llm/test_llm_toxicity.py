@@ -87,6 +87,28 @@ def test_bound_decides_like_the_values():
         assert np.allclose(toxicity.folded_values(texts, weights, least), np.where(exact >= least, exact, -np.inf))
 
 
+def test_only_words_that_count_are_measured(monkeypatch):
+    rng = np.random.default_rng(1)
+    weights = rng.normal(0, 0.5, toxicity._CODES**3).astype(np.float32)
+    weights[0] = 0
+    model = toxicity.Model(weights, -2.6, rng.normal(0, 0.5, len(toxicity.LEVELS) + 6))
+    some = ["".join(rng.choice(list("abcdefghi-."), rng.integers(1, 30))) for _ in range(4000)]
+    texts = [" ".join(rng.choice(some, n)) for n in (400, 300, 250, 200, 12, 5, 4, 1, 0)] + ["a b c de fg", "a b c de fg " * 200, "--- ..."]
+    wanted = []
+    for split in map(str.split, texts):
+        own = toxicity.words_of(" ".join(split), split)
+        values = model.values(sorted(own)).tolist()
+        wanted.append(toxicity.evidence([*values, *model.joined(sorted(toxicity.joined_of(split) - own)).values()], len(own)) @ model.document)
+    measured, lengths = [], toxicity._lengths
+    monkeypatch.setattr(toxicity, "_lengths", lambda shapes: measured.append(len(shapes[0][0])) or lengths(shapes))
+    for known in (toxicity.Known(), toxicity.Known(most=3)):
+        for _ in range(2):
+            assert np.allclose(model.scores(texts, known), 1 / (1 + np.exp(-np.clip(wanted, -30, 30))), atol=1e-6)
+    first = model.scores(texts[:1], toxicity.Known())
+    measured.clear()
+    assert model.scores(texts[:1], toxicity.Known()) == first and 0 < sum(measured) < len(set(texts[0].split())) / 2
+
+
 def test_what_was_judged_is_bounded():
     model, known = toxicity.train([("you idiot one", 1), ("a fine day", 0)]), toxicity.Known(most=50)
     before = model.scores(["so you idiot", "fine"], toxicity.Known())
