@@ -166,11 +166,12 @@ def kernel(words: Sequence[str], landmarks: Sequence[str]) -> np.ndarray:
     return out.astype(np.float64)
 
 
-def folded_values(words: Sequence[str], weights: np.ndarray, least: float = -np.inf) -> np.ndarray:
+def folded_values(words: Sequence[str], weights: np.ndarray, least: float = -np.inf, totals: np.ndarray | None = None) -> np.ndarray:
     """The linear function of the words' features with these weights (weights[0] is 0); -inf where it is below `least`.
 
     If `least` is at least 0, most words are decided by a bound: features that
     coincide only make a vector longer than its occurrences taken one by one.
+    `totals` are those of the words, NaN where they are not known yet, and are filled in.
     """
     out = np.full(len(words), -np.inf, np.float32)
     order = np.argsort(np.fromiter(map(len, words), np.int64, len(words)), kind="stable")
@@ -178,6 +179,8 @@ def folded_values(words: Sequence[str], weights: np.ndarray, least: float = -np.
         rows = order[at : at + 4096]
         matrix = codes([words[i] for i in rows])
         total = _totals(matrix, weights)
+        if totals is not None:
+            total = totals[rows] = np.where(np.isnan(totals[rows]), total, totals[rows])
         if least >= 0:
             near = np.flatnonzero(total >= least * _least_lengths(matrix))
             if not len(near):
@@ -221,14 +224,21 @@ class Model:
     bias: float
     document: np.ndarray
 
-    def values(self, words: Sequence[str], least: float = FLOOR) -> np.ndarray:
-        """The decision for each word, the largest over its parts: at least FLOOR, and -inf where it is below a higher `least`."""
-        stripped = [w.strip(_STRIP) for w in words]
-        others = [(i, p) for i, w in enumerate(stripped) if len(w) > LONGEST for p in _parts(w)[1:]]
-        units = [w[:LONGEST] for w in stripped] + [p for _, p in others]
-        values = folded_values(units, self.weights, least - self.bias) + self.bias
-        out = values[: len(words)]
-        np.maximum.at(out, np.array([i for i, _ in others], np.intp), values[len(words) :])
+    def values(self, words: Sequence[str], least: float = FLOOR, totals: np.ndarray | None = None) -> np.ndarray:
+        """The decision for each word, the largest over its parts: at least FLOOR, and -inf where it is below a higher `least`.
+
+        `totals` as for folded_values; those of words in several parts stay unknown.
+        """
+        parts = [_parts(w) if len(w) > LONGEST else (w,) for w in (w.strip(_STRIP) for w in words)]
+        if not parts:
+            return np.zeros(0, np.float32)
+        flat = [p for own in parts for p in own]
+        many = np.fromiter(map(len, parts), np.int64, len(parts))
+        starts = np.cumsum(many) - many
+        own_totals = None if totals is None else np.repeat(totals, many)
+        out = np.maximum.reduceat(folded_values(flat, self.weights, least - self.bias, own_totals) + self.bias, starts)
+        if totals is not None:
+            totals[:] = np.where(many == 1, own_totals[starts], np.nan)
         return out if least > FLOOR else np.maximum(out, FLOOR)
 
     def joined(self, units: Sequence[str]) -> dict[str, float]:
@@ -246,7 +256,8 @@ class Model:
         split = [text.split() for text in lowered]
         words = list(map(words_of, lowered, split))
         new = list(set().union(*words).difference(known.words))
-        known.add(new, self.values(new, CLOSE))
+        totals = np.full(len(new), np.nan, np.float32)
+        known.add(new, self.values(new, CLOSE, totals), totals)
         units, owners = neighbours(split)
         new = list(set(units).difference(known.judged))
         known.judged.update(new)
@@ -258,7 +269,8 @@ class Model:
         close = [known.close.keys() & own for own in words]
         few = [len(c) < len(own) and len(c) + len(j) < HIGHEST for own, c, j in zip(words, close, joined)]
         low = list(set().union(*[own - c for own, c, f in zip(words, close, few) if f]))
-        measured = dict(zip(low, self.values(low).tolist()))
+        totals = np.fromiter(map(known.words.__getitem__, low), np.float32, len(low))
+        measured = dict(zip(low, self.values(low, FLOOR, totals).tolist()))
         found = []
         for own, c, j, f in zip(words, close, joined, few):
             values = [*[known.close[w] for w in c], *j.values(), *([measured[w] for w in own - c] if f else [])]
@@ -277,15 +289,15 @@ class Known:
         self.judged: set[str] = set()
         self.joined: dict[str, float] = {}
 
-    def add(self, words: Sequence[str], values: np.ndarray) -> None:
-        """Words with their decisions, -inf for those below CLOSE."""
-        self.words.update(zip(words, values.tolist()))
+    def add(self, words: Sequence[str], values: np.ndarray, totals: np.ndarray) -> None:
+        """Words with their totals, and the decisions of those not below CLOSE."""
+        self.words.update(zip(words, totals.tolist()))
         self.close.update((words[i], float(values[i])) for i in np.flatnonzero(values >= CLOSE))
 
     def trim(self) -> None:
         if len(self.words) > self.most:
             self.words = dict(islice(self.words.items(), self.most // 2, None))
-            self.close = {w: value for w, value in self.words.items() if value >= CLOSE}
+            self.close = {w: value for w, value in self.close.items() if w in self.words}
         if len(self.judged) > self.most:
             self.judged, self.joined = set(), {}
 
