@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from stallwise import schema
+from stallwise import catalog, schema
 from stallwise.operators import contract
 from stallwise.operators.clean import clean_listings, to_warehouse
 from stallwise.sources import listings_io as io
@@ -95,6 +95,15 @@ def test_without_a_shared_folder_reports_still_run(spark, monkeypatch):
         store.warehouse_with_ids(spark, SMALL)
 
 
+def test_raw_csv_clean_does_not_go_without_its_files(spark, raw, monkeypatch):
+    monkeypatch.setattr(catalog, "raw_listings", lambda *_: raw({"offer_name_raw": "10%\r\noff"}, {"area": None}))
+    found = {r.area: r.offer_name for r in catalog.queries()["raw_csv_clean"](spark, SMALL).collect()}
+    assert found == {"Centre": "10% | off", "Pune": "10% off"}
+    monkeypatch.setattr(store, "shared_folder", lambda _: None)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        catalog.queries()["raw_csv_clean"](spark, SMALL)
+
+
 def test_store_is_written_once_in_the_shared_folder(spark):
     first, again = store.stored_listings(spark, SMALL), store.stored_listings(spark, SMALL)
     assert first is again and first.path.startswith(spark.conf.get("spark.checkpoint.dir"))
