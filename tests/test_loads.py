@@ -1,10 +1,15 @@
+import time
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
-from stallwise import schema
+from stallwise import catalog, schema
 from stallwise.operators import clean as C
 from stallwise.operators import contract
 from stallwise.sources import commits, loads, store
+from stallwise.sources.binding import raw_listings
+from conftest import SMALL
 
 
 def rows_of(frame):
@@ -130,3 +135,71 @@ def test_a_first_load_is_not_staged_and_whole_rows_are_compared_without_grouping
     again = raw({"offer_count": None, "area": None}, {"offer_count": float("nan")}, {"offer_count": -0.0}, {"offer_count": None})
     table.append("odd", odd)
     assert table.append("again", again).loads[-1].rows == 1
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_a_load_leaves_no_shuffles_on_disk(spark, raw, tmp_path):
+    parts = batches(raw)
+    table = loads.LoadedListings(spark, str(tmp_path / "t"), buckets=4)
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    earlier, kept = shuffle_files(spark), spark.conf.get(setting)
+    table.append("a", parts[0])
+    table.append("b", parts[1])
+    table.replace("c", parts[2])
+    assert spark.conf.get(setting) == kept
+    until = time.time() + 20
+    while (left := shuffle_files(spark) - earlier) and time.time() < until:
+        time.sleep(0.5)
+    assert not left
+
+
+def test_parts_of_a_batch_equal_the_whole(spark, raw, tmp_path):
+    parts = batches(raw)
+    odd = raw({"offer_count": None, "area": None}, {"offer_count": float("nan")}, {"offer_count": 0.0}, {"offer_count": -0.0})
+    whole = loads.LoadedListings(spark, str(tmp_path / "whole"), buckets=4)
+    table = loads.LoadedListings(spark, str(tmp_path / "parts"), buckets=4)
+    for name, batch in [("a", parts[0]), ("b", parts[1]), ("c", parts[2].unionByName(odd)), ("d", odd)]:
+        whole.append(name, batch)
+        table.append(name, batch, parts=3)
+    assert rows_of(table.rows()) == rows_of(whole.rows())
+    assert table.version().last_id == 63 and [load.rows for load in table.version().loads] == [30, 15, 18, 0]
+    assert sorted(r["id"] for r in table.rows_with_ids().collect()) == list(range(1, 64))
+    after = table.replace("e", parts[1], parts=2)
+    assert rows_of(table.rows()) == rows_of(C.clean_listings(parts[1])) and after.last_id == 25
+    assert sorted(r["id"] for r in table.rows_with_ids().collect()) == list(range(1, 26))
+    assert not any((tmp_path / "parts" / "staged").iterdir())
+
+
+def test_a_part_is_shuffled_without_the_others(spark, raw, tmp_path):
+    table = loads.LoadedListings(spark, str(tmp_path / "t"), buckets=4)
+    batch = batches(raw)[2]
+    found = [table.unique_rows(batch, F.pmod("row_hash", F.lit(3)) == i) for i in range(3)]
+    assert all(0 < part.count() < 60 for part in found) and sum(part.count() for part in found) == 60
+    assert found[0].unionByName(found[1]).unionByName(found[2]).exceptAll(table.unique_rows(batch)).count() == 0
+
+
+def test_listings_are_joined_once_for_all_batches_in_parts(spark, monkeypatch):
+    asked = []
+
+    def listings(session, folder, part, parts):
+        asked.append((part, parts))
+        return raw_listings(session, folder, part, parts)
+
+    monkeypatch.setattr(catalog, "raw_listings", listings)
+    monkeypatch.setattr(catalog, "_loaded", {})
+    monkeypatch.setattr(catalog, "LINES_AT_ONCE", 2500)
+    table = catalog._loaded_in_batches(spark, SMALL)
+    assert asked == [(0, 3), (1, 3), (2, 3)]
+    raw = raw_listings(spark, SMALL)
+    pieces = [raw_listings(spark, SMALL, i, 3) for i in range(3)]
+    assert all(1900 < piece.count() < 2200 for piece in pieces)
+    union = pieces[0].unionByName(pieces[1]).unionByName(pieces[2])
+    assert union.exceptAll(raw).count() == 0 == raw.exceptAll(union).count()
+    clean = C.clean_listings(raw)
+    assert rows_of(table.rows(3)) == rows_of(clean) and rows_of(table.rows(4)) == rows_of(clean.filter("NOT is_pure_veg"))
+    # What was joined for the batches is gone when they are loaded.
+    assert not (Path(table.root) / "raw").exists()
